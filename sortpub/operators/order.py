@@ -29,7 +29,7 @@ def _record_columns(df: DataFrame, columns: list[str] | None) -> list[str]:
 
 def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
                 tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset",
-                stage_how: str | None = "checkpoint") -> DataFrame:
+                partitions: int | None = None) -> DataFrame:
     """Rows of ``df`` with ``offset`` = rank in (key, rest, tiebreak) order.
 
     Range exchange + sort, then the global position of ``with_position``; the output
@@ -38,7 +38,7 @@ def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
     cols = _record_columns(df, columns)
     order = sort_columns(df, key, cols, tiebreak)
     ranked = with_position(df.select(*cols, *[t for t in tiebreak if t in df.columns]),
-                           [F.col(c).asc() for c in order], name=offset, stage_how=stage_how)
+                           [F.col(c).asc() for c in order], name=offset, partitions=partitions)
     return ranked.select(offset, *cols)
 
 

@@ -1,12 +1,16 @@
 """Global position (rank) of every row without a single-partition step.
 
-1. optional total order (range exchange + sort), then a 64-bit row mark from
-   ``monotonically_increasing_id`` (partition index in the high bits, row index in
-   the low 33 bits);
-2. the marked frame is staged (reliable checkpoint under ``spark.checkpoint.dir``) so
-   both later reads see the same partitions, even after an executor loss;
-3. count per partition -> a table with one row per partition, prefix sums over it,
-   broadcast (its size is the partition count, checked) -> ``base + row index``.
+Ordered form: ``repartitionByRange(n, order)`` with a fixed partition count (AQE does
+not coalesce it), persisted once.  Both later reads -- a count per range partition and
+the rows sorted inside each partition -- come from that one shuffle dependency, so
+they see the same range bounds and the same partitions; a lost cached block is
+recomputed from the same shuffle (same partitioner, content-deterministic input), so an
+executor loss does not change any position.  The count table has one row per
+partition: prefix sums over it are broadcast (size checked) and
+position = base(partition) + row index inside the sorted partition.
+
+Unordered form (arrival order): the frame is staged first (reliable checkpoint under
+``spark.checkpoint.dir``) unless the caller states it is deterministic (a file scan).
 """
 
 from __future__ import annotations
@@ -34,32 +38,64 @@ def stage(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
         checkpoint_root(df.sparkSession)
         return df.checkpoint(eager=True)
     if how == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-        return out
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     if how is None:
         return df
     raise ValueError(f"unknown stage mode {how!r}")
 
 
-def _partition_bases(marked: DataFrame, n_parts: int) -> DataFrame:
-    counts = marked.groupBy(F.shiftright("_m", _ROW_BITS).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+_CACHED: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist the range-partitioned frames cached by ``with_position``."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Sum of the leaf relations' sizes (files for scans) of ``df``'s plan."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except Exception:  # noqa: BLE001 - an estimate only
+        return 0
+
+
+def target_partitions(df: DataFrame, bytes_per_partition: int = 256 << 20) -> int:
+    """Range partitions for a sort: input size / target, at least the shuffle setting."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, min(-(-input_bytes(df) // bytes_per_partition), MAX_BROADCAST_PARTITIONS))
+
+
+def _bases(counts: DataFrame, n_parts: int) -> DataFrame:
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     return F.broadcast(bases) if n_parts <= MAX_BROADCAST_PARTITIONS else bases
 
 
 def with_position(df: DataFrame, order: list[Column | str] | None = None, name: str = "position",
-                  stage_how: str | None = "checkpoint") -> DataFrame:
-    """Add ``name`` = 0..N-1 in ``order`` (or in current partition order if None)."""
+                  stage_how: str | None = "checkpoint", partitions: int | None = None,
+                  range_stage: str = "persist") -> DataFrame:
+    """Add ``name`` = 0..N-1 in ``order`` (or in current partition order if None).
+
+    With ``order`` the result is range-partitioned and sorted inside each partition;
+    ``range_stage`` ("persist" or "checkpoint") keeps the range partitions fixed.
+    """
     if order:
-        df = df.orderBy(*order)
-    marked = stage(df.withColumn("_m", F.monotonically_increasing_id()), stage_how)
-    n_parts = marked.rdd.getNumPartitions()
-    bases = _partition_bases(marked, n_parts)
+        n_parts = partitions or target_partitions(df)
+        ranged = stage(df.repartitionByRange(n_parts, *order), range_stage)
+        if range_stage == "persist":
+            _CACHED.append(ranged)
+        counts = ranged.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        body = ranged.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+    else:
+        body = stage(df.withColumn("_m", F.monotonically_increasing_id()), stage_how)
+        n_parts = body.rdd.getNumPartitions()
+        counts = body.groupBy(F.shiftright("_m", _ROW_BITS).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     out = (
-        marked.withColumn("_p", F.shiftright("_m", _ROW_BITS))
-        .join(bases, "_p", "inner")
+        body.withColumn("_p", F.shiftright("_m", _ROW_BITS).cast("int"))
+        .join(_bases(counts, n_parts), "_p", "inner")
         .withColumn(name, F.col("_base") + F.col("_m").bitwiseAND(F.lit(_ROW_MASK)))
     )
     return out.drop("_m", "_p", "_base")
