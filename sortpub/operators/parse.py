@@ -18,9 +18,8 @@ def filter_lines(df: DataFrame, value: str = "value") -> DataFrame:
     return df.where(keep_line(value)).withColumn(value, trim_ws(value))
 
 
-def parse_columns(value: Column) -> list[Column]:
-    """Record columns plus ``reject_reason`` (null for a valid record)."""
-    parts = split_fields(value, 4)
+def parse_columns(parts: Column) -> list[Column]:
+    """Record columns plus ``reject_reason`` (null for a valid record) from split parts."""
     fields = [trim_ws(F.get(parts, i)) for i in range(4)]
     enough = F.size(parts) == 4
     rid = F.when(enough, strict_int(fields[0]))
@@ -35,8 +34,12 @@ def parse_columns(value: Column) -> list[Column]:
 
 
 def parse(df: DataFrame, value: str = "value", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """Parse every line once; ``keep`` carries source columns (e.g. partition, offset)."""
-    return df.select(*keep, F.col(value), *parse_columns(F.col(value)))
+    """Parse every line once; ``keep`` carries source columns (e.g. partition, offset).
+
+    The split is its own projection, so it is computed once per line.
+    """
+    split = df.select(*keep, F.col(value), split_fields(value, 4).alias("_parts"))
+    return split.select(*keep, F.col(value), *parse_columns(F.col("_parts")))
 
 
 def valid(parsed: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:

@@ -1,7 +1,7 @@
 """Global position (rank) of every row without a single-partition step.
 
-Ordered form: ``repartitionByRange(n, order)`` with a fixed partition count (AQE does
-not coalesce it), persisted once.  Both later reads -- a count per range partition and
+Ordered form: ``repartitionByRange(order)`` (partition count from the session; AQE may
+merge adjacent ranges, which keeps their order), persisted once.  Both later reads -- a count per range partition and
 the rows sorted inside each partition -- come from that one shuffle dependency, so
 they see the same range bounds and the same partitions; a lost cached block is
 recomputed from the same shuffle (same partitioner, content-deterministic input), so an
@@ -53,19 +53,12 @@ def release() -> None:
         _CACHED.pop().unpersist()
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the leaf relations' sizes (files for scans) of ``df``'s plan."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - an estimate only
-        return 0
-
-
-def target_partitions(df: DataFrame, bytes_per_partition: int = 256 << 20) -> int:
-    """Range partitions for a sort: input size / target, at least the shuffle setting."""
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(base, min(-(-input_bytes(df) // bytes_per_partition), MAX_BROADCAST_PARTITIONS))
+def partition_bound(spark) -> int:
+    """Most range partitions a shuffle can produce under the session settings."""
+    conf = spark.conf
+    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    base = int(conf.get("spark.sql.shuffle.partitions"))
+    return max(base, int(initial)) if initial and initial.strip().lower() not in ("", "none") else base
 
 
 def _bases(counts: DataFrame, n_parts: int) -> DataFrame:
@@ -83,10 +76,16 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
     ``range_stage`` ("persist" or "checkpoint") keeps the range partitions fixed.
     """
     if order:
-        n_parts = partitions or target_partitions(df)
-        ranged = stage(df.repartitionByRange(n_parts, *order), range_stage)
+        # Without an explicit count the shuffle setting applies and AQE may merge
+        # adjacent ranges; both reads below see the same persisted partitions either way.
+        n_parts = partitions or partition_bound(df.sparkSession)
+        ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+        ranged = stage(ranged, range_stage)
         if range_stage == "persist":
             _CACHED.append(ranged)
+            # Materialise once, so the count branch and the row branch never race to
+            # compute the same cached partition.
+            ranged.count()
         counts = ranged.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
         body = ranged.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     else:

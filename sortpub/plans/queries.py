@@ -19,7 +19,7 @@ from sortpub.operators.partition import bucket_route, read_buckets, round_robin
 from sortpub.operators.position import stage, with_position
 from sortpub.plans import views
 from sortpub.schema import RECORD_COLUMNS, key_text, serialize
-from sortpub.session import scratch_path
+from sortpub.session import literal_frame, scratch_path
 from sortpub.sources import generate, lines as line_io, topic
 from sortpub.streaming.snapshot import stream_snapshot
 
@@ -169,7 +169,8 @@ def q_bucket_counts(spark, sf):
 
 def q_publish_metrics(spark, sf):
     m = topic.publish_lines(views.lines(spark, sf), scratch_path(spark, "source"), order=["o_orderkey"])
-    return spark.createDataFrame([(m["sent"], m["failed"], m["bytes"])], "sent long, failed long, bytes long")
+    return literal_frame(spark, [(m["sent"], m["failed"], m["bytes"])],
+                         [("sent", "long"), ("failed", "long"), ("bytes", "long")])
 
 
 def q_run_stats(spark, sf):

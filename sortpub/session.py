@@ -47,3 +47,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/sortpub-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: list[tuple[str, str]]):
+    """A small DataFrame of driver-side values, built JVM-side (no Python worker).
+
+    ``spark.createDataFrame`` on a Python list ships the rows through a Python RDD,
+    which starts Python workers in the tasks; literals avoid that.
+    """
+    from pyspark.sql import functions as F
+
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in schema])
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, schema)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

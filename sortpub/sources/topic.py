@@ -19,6 +19,7 @@ from sortpub.operators.parse import filter_lines
 from sortpub.operators.partition import round_robin_columns
 from sortpub.operators.position import with_position
 from sortpub.schema import serialize
+from sortpub.session import literal_frame
 
 TOPIC_SCHEMA = "value string, timestamp timestamp, offset long, partition int"
 # Topics with at most this many partitions are snapshotted with literal predicates
@@ -79,19 +80,27 @@ def snapshot_read(spark: SparkSession, path: str, bounds: list[tuple[int, int, i
         for p, lo, hi in bounds:
             cond = cond | ((F.col("partition") == p) & (F.col("offset") >= lo) & (F.col("offset") < hi))
         return t.where(cond)
-    b = spark.createDataFrame(bounds, "partition int, _lo long, _hi long")
+    b = literal_frame(spark, bounds, [("partition", "int"), ("_lo", "long"), ("_hi", "long")])
     return (t.join(F.broadcast(b), "partition")
              .where((F.col("offset") >= F.col("_lo")) & (F.col("offset") < F.col("_hi")))
              .drop("_lo", "_hi"))
 
 
-def _hwm_shift(spark: SparkSession, path: str, mode: str) -> DataFrame | None:
+def _hwm_shift(spark: SparkSession, path: str, mode: str) -> Column | DataFrame | None:
+    """Per-partition offset shift for ``append``: each partition continues at its HWM."""
     if mode != "append" or not _path_exists(spark, path):
         return None
     bounds = capture_bounds(spark, path)
     if not bounds:
         return None
-    return spark.createDataFrame([(p, hi) for p, _, hi in bounds], "partition int, _hwm long")
+    shift: Column = F.lit(0)
+    if len(bounds) <= _LITERAL_BOUNDS:
+        cases = F.when(F.lit(False), F.lit(0))
+        for p, _, hi in bounds:
+            cases = cases.when(F.col("partition") == p, F.lit(hi))
+        return cases.otherwise(shift)
+    table = literal_frame(spark, [(p, hi) for p, _, hi in bounds], [("partition", "int"), ("_hwm", "long")])
+    return table  # joined by the caller
 
 
 def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[str] | None = None,
@@ -110,9 +119,12 @@ def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[
     part, off = round_robin_columns(F.col("_pos"), partitions)
     msgs = numbered.select(F.col(value).alias("value"), part, off)
     shift = _hwm_shift(spark, path, mode)
-    if shift is not None:
+    if isinstance(shift, DataFrame):
+        # one row per topic partition: a bounded broadcast
         msgs = (msgs.join(F.broadcast(shift), "partition", "left")
                     .withColumn("offset", F.col("offset") + F.coalesce("_hwm", F.lit(0))).drop("_hwm"))
+    elif shift is not None:
+        msgs = msgs.withColumn("offset", F.col("offset") + shift)
     out, obs = observed(msgs)
     started = time.time()
     write_topic(out, path, mode)
