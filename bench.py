@@ -25,7 +25,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="sortpub-bench")
+    spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="sortpub-bench")
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM, file listing, codegen caches
     QUERIES["parse_valid"](spark, sf_dir).write.format("noop").mode("overwrite").save()
