@@ -19,7 +19,11 @@ def filter_lines(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_columns(parts: Column) -> list[Column]:
-    """Record columns plus ``reject_reason`` (null for a valid record) from split parts."""
+    """Record columns plus ``reject_reason`` (null for a valid record) from split parts.
+
+    Single-expression form (used where the parts are already a column); ``parse``
+    stages the same logic so that each piece is computed once per line.
+    """
     fields = [trim_ws(F.get(parts, i)) for i in range(4)]
     enough = F.size(parts) == 4
     rid = F.when(enough, strict_int(fields[0]))
@@ -36,17 +40,44 @@ def parse_columns(parts: Column) -> list[Column]:
 def parse(df: DataFrame, value: str = "value", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Parse every line once; ``keep`` carries source columns (e.g. partition, offset).
 
-    The split is its own projection, so it is computed once per line.
+    Three projections: split; trimmed fields; id.  A non-cheap expression used twice
+    is not re-inlined by the optimizer, so split, the id trim and the integer check
+    each run once per line.
+    """
+    carry = [*keep, value]
+    split = df.select(*carry, split_fields(value, 4).alias("_parts"))
+    enough = F.size("_parts") == 4
+    fields = split.select(*carry, enough.alias("_ok"),
+                          *[trim_ws(F.get("_parts", i)).alias(f"_f{i}") for i in range(4)])
+    ided = fields.select(*carry, "_ok", "_f1", "_f2", "_f3",
+                         F.when(F.col("_ok"), strict_int("_f0")).alias("_id"))
+    reason = F.when(~F.col("_ok"), F.lit(FEW_FIELDS)).when(F.col("_id").isNull(), F.lit(BAD_ID))
+    return ided.select(
+        *carry,
+        F.col("_id").alias("id"),
+        F.when(F.col("_ok"), F.col("_f1")).alias("name"),
+        F.when(F.col("_ok"), F.col("_f2")).alias("address"),
+        F.when(F.col("_ok"), F.col("_f3")).alias("continent"),
+        reason.alias("reject_reason"),
+    )
+
+
+def _route(parsed: DataFrame, cond: Column, cols: list[str]) -> DataFrame:
+    """Rows where ``cond`` holds, as ``explode`` of a 0/1-element array.
+
+    A plain filter on ``reject_reason`` is pushed below the parse projections and
+    re-inlines them (the parse runs twice per line); a generator is not, so the parse
+    runs once.
     """
-    split = df.select(*keep, F.col(value), split_fields(value, 4).alias("_parts"))
-    return split.select(*keep, F.col(value), *parse_columns(F.col("_parts")))
+    return (parsed.select(F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r"))
+                  .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 def valid(parsed: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Records that parsed: non-null id and four fields."""
-    return parsed.where(F.col("reject_reason").isNull()).select(*keep, *RECORD_COLUMNS)
+    return _route(parsed, F.col("reject_reason").isNull(), [*keep, *RECORD_COLUMNS])
 
 
 def rejects(parsed: DataFrame, keep: list[str] | tuple[str, ...] = (), value: str = "value") -> DataFrame:
     """Lines that did not parse, with the reason."""
-    return parsed.where(F.col("reject_reason").isNotNull()).select(*keep, value, "reject_reason")
+    return _route(parsed, F.col("reject_reason").isNotNull(), [*keep, value, "reject_reason"])
