@@ -82,10 +82,9 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
         ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
         ranged = stage(ranged, range_stage)
         if range_stage == "persist":
+            # Built by the count branch (a broadcast stage, which completes before the
+            # stage that reads the rows); the row branch then reads the cached blocks.
             _CACHED.append(ranged)
-            # Materialise once, so the count branch and the row branch never race to
-            # compute the same cached partition.
-            ranged.count()
         counts = ranged.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
         body = ranged.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     else:
