@@ -85,10 +85,12 @@ def bucket_order(df: DataFrame, key: str, salts: int | None = None,
         src = ["_mark"]
     salted = df.withColumn("_s", F.pmod(F.xxhash64(*src), F.lit(s)).cast("int"))
     counts = stage(salted.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n")), "checkpoint")
+    if counts.count() > min(max_keys * s, MAX_BROADCAST_PARTITIONS):
+        # Too many keys for a bucket order: the (key, salt) table would grow with the
+        # data.  The total order gives the same (offset, key) pairs without it.
+        return total_order(df.drop("_mark"), key, offset=offset)
     before = Window.orderBy(key, "_s").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(key, "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    if counts.count() <= min(max_keys * s, MAX_BROADCAST_PARTITIONS):
-        bases = F.broadcast(bases)
+    bases = F.broadcast(counts.select(key, "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
     in_bucket = Window.partitionBy(key, "_s").orderBy(*src)
     return (salted.join(bases, [key, "_s"], "inner")
                   .withColumn(offset, F.col("_base") + F.row_number().over(in_bucket) - 1)

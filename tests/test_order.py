@@ -141,3 +141,20 @@ def test_sort_all_keys(spark):
     assert got[("name", 0)] == "3,a,z,Africa"
     assert got[("continent", 0)] == "3,a,z,Africa"
     assert len(out) == 9
+
+
+def test_bucket_order_falls_back_for_many_keys(spark):
+    df = people_df(spark, [rec(i) for i in range(300)])
+    out = order.bucket_order(df, "id", salts=2, max_keys=10)
+    assert offsets_and(out, "id") == list(range(300))
+
+
+def test_bucket_order_hot_key_spreads(spark):
+    # one key holds a third of the rows; salting spreads it over sub-buckets
+    rows = [(i, f"n{i}", "x", "Hot" if i % 3 == 0 else f"c{i % 7}", 0, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, name string, address string, continent string, partition int, offset long")
+    out = order.bucket_order(df, "continent", salts=8)
+    got = out.orderBy("offset").collect()
+    assert [r.offset for r in got] == list(range(3000))
+    keys = [r.continent for r in got]
+    assert keys == sorted(keys)
