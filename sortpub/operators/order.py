@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, stage, with_position
+from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, carry_cache, stage, with_position
 from sortpub.schema import RECORD_COLUMNS, SOURCE_POSITION, check_key, serialize, sort_columns
 
 # Fixed values of the strategy choice: head sample size and distinct-key threshold
@@ -39,7 +39,7 @@ def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
     order = sort_columns(df, key, cols, tiebreak)
     ranked = with_position(df.select(*cols, *[t for t in tiebreak if t in df.columns]),
                            [F.col(c).asc() for c in order], name=offset, partitions=partitions)
-    return ranked.select(offset, *cols)
+    return carry_cache(ranked, ranked.select(offset, *cols))
 
 
 def sorted_runs(df: DataFrame, key: str, position: str = "position", chunk: int = CHUNK_SIZE,

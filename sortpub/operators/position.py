@@ -47,10 +47,22 @@ def stage(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
 _CACHED: list[DataFrame] = []
 
 
-def release() -> None:
-    """Unpersist the range-partitioned frames cached by ``with_position``."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
+def release(df: DataFrame | None = None) -> None:
+    """Unpersist the range caches behind ``df`` (all of them if ``df`` is None)."""
+    if df is None:
+        while _CACHED:
+            _CACHED.pop().unpersist()
+        return
+    for frame in getattr(df, "_sortpub_cached", []):
+        frame.unpersist()
+        if frame in _CACHED:
+            _CACHED.remove(frame)
+
+
+def carry_cache(src: DataFrame, out: DataFrame) -> DataFrame:
+    """Let ``out`` (derived from ``src``) know the range caches it reads."""
+    out._sortpub_cached = list(getattr(src, "_sortpub_cached", []))
+    return out
 
 
 def partition_bound(spark) -> int:
@@ -96,4 +108,6 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
         .join(_bases(counts, n_parts), "_p", "inner")
         .withColumn(name, F.col("_base") + F.col("_m").bitwiseAND(F.lit(_ROW_MASK)))
     )
-    return out.drop("_m", "_p", "_base")
+    out = out.drop("_m", "_p", "_base")
+    out._sortpub_cached = [ranged] if order and range_stage == "persist" else []
+    return out

@@ -17,7 +17,7 @@ from sortpub.operators.metrics import collect_metrics, observed
 from sortpub.operators.order import total_order
 from sortpub.operators.parse import filter_lines
 from sortpub.operators.partition import round_robin_columns
-from sortpub.operators.position import with_position
+from sortpub.operators.position import release, with_position
 from sortpub.schema import serialize
 from sortpub.session import literal_frame
 
@@ -128,6 +128,7 @@ def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[
     out, obs = observed(msgs)
     started = time.time()
     write_topic(out, path, mode)
+    release(numbered)
     return collect_metrics(obs, started)
 
 
@@ -146,6 +147,7 @@ def publish_sorted(records: DataFrame, key: str, path: str, strict: bool = False
     out, obs = observed(msgs)
     started = time.time()
     (to_topic_columns(out).write.mode(mode).partitionBy("partition").parquet(path))
+    release(ranked)  # the range cache is not needed once the topic is written
     return collect_metrics(obs, started)
 
 
