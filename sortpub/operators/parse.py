@@ -69,7 +69,7 @@ def _route(parsed: DataFrame, cond: Column, cols: list[str]) -> DataFrame:
     re-inlines them (the parse runs twice per line); a generator is not, so the parse
     runs once.  On a cached parse there is nothing to re-run: a plain filter is used.
     """
-    if parsed.is_cached:
+    if getattr(parsed, "is_cached", False):
         return parsed.where(cond).select(*cols)
     return (parsed.select(F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r"))
                   .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))

@@ -101,7 +101,10 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
         body = ranged.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
     else:
         body = stage(df.withColumn("_m", F.monotonically_increasing_id()), stage_how)
-        n_parts = body.rdd.getNumPartitions()
+        try:
+            n_parts = body.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): use the setting
+            n_parts = partition_bound(df.sparkSession)
         counts = body.groupBy(F.shiftright("_m", _ROW_BITS).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     out = (
         body.withColumn("_p", F.shiftright("_m", _ROW_BITS).cast("int"))

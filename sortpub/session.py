@@ -32,7 +32,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a private one only when none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (Spark Connect)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared directory") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
