@@ -1,7 +1,7 @@
 """Global position (rank) of every row without a single-partition step.
 
-Ordered form: ``repartitionByRange(order)`` (partition count from the session; AQE may
-merge adjacent ranges, which keeps their order), persisted once.  Both later reads -- a count per range partition and
+Ordered form: ``repartitionByRange(n, order)`` with n from the size of the files the
+plan reads (or the session setting when unknown), persisted once.  Both later reads -- a count per range partition and
 the rows sorted inside each partition -- come from that one shuffle dependency, so
 they see the same range bounds and the same partitions; a lost cached block is
 recomputed from the same shuffle (same partitioner, content-deterministic input), so an
@@ -73,6 +73,61 @@ def partition_bound(spark) -> int:
     return max(base, int(initial)) if initial and initial.strip().lower() not in ("", "none") else base
 
 
+def _physical_scan_bytes(plan) -> int:
+    total = 0
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        name = leaf.getClass().getSimpleName()
+        if name == "FileSourceScanExec":
+            total += int(leaf.relation().sizeInBytes())
+        elif name == "InMemoryTableScanExec":
+            total += _physical_scan_bytes(leaf.relation().cacheBuilder().cachedPlan())
+        elif name == "AdaptiveSparkPlanExec":
+            total += _physical_scan_bytes(leaf.inputPlan())
+        else:
+            raise ValueError(name)
+    return total
+
+
+def scan_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files ``df`` reads (through cached plans), or None if unknown.
+
+    File sizes, not the optimizer's estimates: without CBO an inner join is estimated
+    as the product of its inputs.
+    """
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            name = leaf.getClass().getSimpleName()
+            if name == "LogicalRelation":
+                total += int(leaf.relation().sizeInBytes())
+            elif name == "InMemoryRelation":
+                total += _physical_scan_bytes(leaf.cacheBuilder().cachedPlan())
+            elif name in ("LocalRelation", "Range", "OneRowRelation"):
+                continue
+            else:
+                return None
+        return total
+    except Exception:  # noqa: BLE001 - unknown plan shapes or no JVM view: no estimate
+        return None
+
+
+def range_partitions(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int | None:
+    """Range partitions for a sort of ``df``: one per ``bytes_per_partition`` of input
+    files, at least the default parallelism; None (session setting) when unknown."""
+    size = scan_bytes(df)
+    if size is None:
+        return None
+    try:
+        floor = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, min(-(-size // bytes_per_partition), MAX_BROADCAST_PARTITIONS))
+
+
 def _bases(counts: DataFrame, n_parts: int) -> DataFrame:
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
@@ -90,6 +145,7 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
     if order:
         # Without an explicit count the shuffle setting applies and AQE may merge
         # adjacent ranges; both reads below see the same persisted partitions either way.
+        partitions = partitions or range_partitions(df)
         n_parts = partitions or partition_bound(df.sparkSession)
         ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
         ranged = stage(ranged, range_stage)
