@@ -31,3 +31,14 @@ def stream_snapshot(spark: SparkSession, source_dir: str, schema: str, fmt: str
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     return spark.read.schema(schema).parquet(f"{staging}/data")
+
+
+def stream_lines(spark: SparkSession, source_dir: str, header: bool = True,
+                 staging: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """G1 over line files: every line present now (first line of each file dropped), then stop."""
+    from sortpub.sources.lines import SEP
+
+    opts = {"sep": SEP, "quote": "", "escape": "", "header": str(header).lower(), "lineSep": "\n",
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return stream_snapshot(spark, source_dir, "value string", fmt="csv", staging=staging,
+                           max_files_per_trigger=max_files_per_trigger, options=opts)

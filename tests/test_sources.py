@@ -64,3 +64,12 @@ def test_stream_snapshot_events(spark):
     src = spark.read.parquet(f"{SF}/events.parquet")
     assert staged.count() == src.count()
     assert staged.select("event_id").exceptAll(src.select("event_id")).count() == 0
+
+
+def test_stream_lines_drops_each_header(spark, tmp_out):
+    from sortpub.streaming.snapshot import stream_lines
+
+    vals = [f"{i},n{i},a b,Asia" for i in range(30)]
+    line_io.write_lines(lines_df(spark, vals).repartition(3), tmp_out)
+    staged = stream_lines(spark, tmp_out, max_files_per_trigger=1)
+    assert sorted(r.value for r in staged.collect()) == sorted(vals)
