@@ -13,12 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, carry_cache, stage, with_position
-from sortpub.schema import RECORD_COLUMNS, SOURCE_POSITION, check_key, serialize, sort_columns
-
-# Fixed values of the strategy choice: head sample size and distinct-key threshold
-# (strictly fewer distinct keys than the threshold selects the bucket strategy).
-CHUNK_SIZE = 500_000
-LOW_CARDINALITY_THRESHOLD = 200
+from sortpub.operators.profile import CHUNK_SIZE, LOW_CARDINALITY_THRESHOLD, key_profile
+from sortpub.schema import SOURCE_POSITION, check_key, serialize, sort_columns
 
 
 def _record_columns(df: DataFrame, columns: list[str] | None) -> list[str]:
@@ -100,8 +96,6 @@ def bucket_order(df: DataFrame, key: str, salts: int | None = None,
 def sort_auto(df: DataFrame, key: str, probe: DataFrame | None = None,
               threshold: int = LOW_CARDINALITY_THRESHOLD) -> tuple[str, DataFrame]:
     """Bucket order when the head sample has < ``threshold`` distinct keys, else total order."""
-    from sortpub.operators.profile import key_profile
-
     prof = key_profile(probe if probe is not None else df, key, threshold=threshold).first()
     if prof["strategy"] == "bucket":
         return "bucket", bucket_order(df, key, max_keys=threshold)
@@ -132,6 +126,3 @@ def top_n(df: DataFrame, key: str, n: int, columns: list[str] | None = None,
     # At most n rows reach this window: the limit is the feature.
     return head.withColumn(offset, F.row_number().over(Window.orderBy(*order)) - 1).select(offset, *cols)
 
-
-def records_of(df: DataFrame) -> list[str]:
-    return [c for c in RECORD_COLUMNS if c in df.columns]

@@ -26,8 +26,7 @@ def check_sorted(df: DataFrame, key: list[str] | str, offset: str = "offset", bl
     k = _key(cols)
     blk = F.floor(F.col(offset) / F.lit(block)).cast("long")
     w = Window.partitionBy("_blk").orderBy(offset)
-    rows = (df.select(blk.alias("_blk"), F.col(offset).alias("_o"), k.alias("_k"))
-              .withColumnRenamed("_o", offset)
+    rows = (df.select(blk.alias("_blk"), F.col(offset), k.alias("_k"))
               .withColumn("_prev_k", F.lag("_k").over(w))
               .withColumn("_prev_o", F.lag(offset).over(w)))
     blocks = rows.groupBy("_blk").agg(
@@ -56,11 +55,6 @@ def check_sorted(df: DataFrame, key: list[str] | str, offset: str = "offset", bl
     )
 
 
-def fingerprint(df: DataFrame, cols: list[str]) -> Column:
-    """Order-free multiset hash: decimal sum of 64-bit row hashes (no overflow)."""
-    return F.sum(F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)"))
-
-
 def check_conserved(before: DataFrame, after: DataFrame, cols: list[str] | None = None,
                     exact: bool = True) -> DataFrame:
     """nothing lost or invented between two tables (as multisets of rows).
