@@ -62,24 +62,26 @@ def parse(df: DataFrame, value: str = "value", keep: list[str] | tuple[str, ...]
     )
 
 
-def _route(parsed: DataFrame, cond: Column, cols: list[str]) -> DataFrame:
+def _route(parsed: DataFrame, cond: Column, keep: list[str], cols: list[str]) -> DataFrame:
     """Rows where ``cond`` holds, as ``explode`` of a 0/1-element array.
 
     A plain filter on ``reject_reason`` is pushed below the parse projections and
     re-inlines them (the parse runs twice per line); a generator is not, so the parse
-    runs once.  On a cached parse there is nothing to re-run: a plain filter is used.
+    runs once.  ``keep`` columns ride beside the generator, so filters on them (e.g. a
+    head sample on partition/offset) still reach the scan.  On a cached parse there is
+    nothing to re-run: a plain filter is used.
     """
     if getattr(parsed, "is_cached", False):
-        return parsed.where(cond).select(*cols)
-    return (parsed.select(F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r"))
-                  .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
+        return parsed.where(cond).select(*keep, *cols)
+    return (parsed.select(*keep, F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r"))
+                  .select(*keep, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 def valid(parsed: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Records that parsed: non-null id and four fields."""
-    return _route(parsed, F.col("reject_reason").isNull(), [*keep, *RECORD_COLUMNS])
+    return _route(parsed, F.col("reject_reason").isNull(), list(keep), list(RECORD_COLUMNS))
 
 
 def rejects(parsed: DataFrame, keep: list[str] | tuple[str, ...] = (), value: str = "value") -> DataFrame:
     """Lines that did not parse, with the reason."""
-    return _route(parsed, F.col("reject_reason").isNotNull(), [*keep, value, "reject_reason"])
+    return _route(parsed, F.col("reject_reason").isNotNull(), list(keep), [value, "reject_reason"])

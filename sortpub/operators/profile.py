@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sortpub.schema import check_key
@@ -13,21 +13,35 @@ CHUNK_SIZE = 500_000
 LOW_CARDINALITY_THRESHOLD = 200
 
 
+# Up to this many source partitions the head is expressed as literal predicates, which
+# reach the parquet scan (directory pruning + offset range pushdown).
+_LITERAL_PARTITIONS = 64
+
+
 def head_sample(df: DataFrame, size: int = CHUNK_SIZE, partition: str = "partition",
                 offset: str = "offset") -> DataFrame:
     """Lowest offsets of every source partition, in equal shares summing to ``size``.
 
-    Needs one row per source partition of statistics (bounded by the topic's partition
-    count), broadcast to the filter. Without source coordinates the whole frame is used.
+    One row per source partition of statistics is collected (bounded by the topic's
+    partition count; only the two coordinate columns are scanned).  The head is then
+    a literal filter, pushed to the scan, so only the head is read.  Without source
+    coordinates the whole frame is used.
     """
     if partition not in df.columns or offset not in df.columns:
         return df
-    stats = df.groupBy(partition).agg(F.min(offset).alias("_oldest"))
-    n_parts = F.count(F.lit(1)).over(Window.partitionBy())  # over the small stats table
-    shares = stats.select(partition, "_oldest", F.ceil(F.lit(size) / n_parts).alias("_share"))
+    stats = df.groupBy(partition).agg(F.min(offset).alias("_oldest")).collect()
+    if not stats:
+        return df
+    share = -(-size // len(stats))
+    if len(stats) <= _LITERAL_PARTITIONS:
+        cond = F.lit(False)
+        for r in stats:
+            cond = cond | ((F.col(partition) == r[partition]) & (F.col(offset) < r["_oldest"] + share))
+        return df.where(cond)
+    shares = df.groupBy(partition).agg(F.min(offset).alias("_oldest"))
     return (df.join(F.broadcast(shares), partition)
-              .where(F.col(offset) < F.col("_oldest") + F.col("_share"))
-              .drop("_oldest", "_share"))
+              .where(F.col(offset) < F.col("_oldest") + F.lit(share))
+              .drop("_oldest"))
 
 
 def key_profile(df: DataFrame, key: str, size: int = CHUNK_SIZE,
