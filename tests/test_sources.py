@@ -73,3 +73,22 @@ def test_stream_lines_drops_each_header(spark, tmp_out):
     line_io.write_lines(lines_df(spark, vals).repartition(3), tmp_out)
     staged = stream_lines(spark, tmp_out, max_files_per_trigger=1)
     assert sorted(r.value for r in staged.collect()) == sorted(vals)
+
+
+def test_first_line_dropped_even_if_data_and_switchable(spark, tmp_out):
+    import os
+
+    d = local(tmp_out)
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "part-0.csv"), "w") as f:
+        f.write("1,first,a,Asia\n2,second,b,Asia\n")
+    assert [r.value for r in line_io.read_lines(spark, tmp_out).collect()] == ["2,second,b,Asia"]
+    assert len(line_io.read_lines(spark, tmp_out, header=False).collect()) == 2
+
+
+def test_no_line_length_limit(spark, tmp_out):
+    long_line = "1,n,a," + "x" * 2_000_000
+    line_io.write_lines(lines_df(spark, [long_line]).coalesce(1), tmp_out)
+    back = line_io.read_lines(spark, tmp_out)
+    rec = parse.valid(parse.parse(back)).first()
+    assert rec is not None and len(rec.continent) == 2_000_000
