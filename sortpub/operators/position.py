@@ -1,13 +1,13 @@
 """Global position (rank) of every row without a single-partition step.
 
 Ordered form: ``repartitionByRange(n, order)`` with n from the size of the files the
-plan reads (or the session setting when unknown), persisted once.  Both later reads -- a count per range partition and
-the rows sorted inside each partition -- come from that one shuffle dependency, so
-they see the same range bounds and the same partitions; a lost cached block is
-recomputed from the same shuffle (same partitioner, content-deterministic input), so an
-executor loss does not change any position.  The count table has one row per
-partition: prefix sums over it are broadcast (size checked) and
-position = base(partition) + row index inside the sorted partition.
+plan reads (or the session setting when unknown), persisted once.  Both later reads --
+a count per range partition and the rows sorted inside each partition -- come from that
+one shuffle dependency, so they see the same range bounds and the same partitions; a
+lost cached block is recomputed from the same shuffle (same partitioner,
+content-deterministic input), so an executor loss does not change any position.  The
+count table has one row per partition: prefix sums over it are broadcast (size checked)
+and position = base(partition) + row index inside the sorted partition.
 
 Unordered form (arrival order): the frame is staged first (reliable checkpoint under
 ``spark.checkpoint.dir``) unless the caller states it is deterministic (a file scan).
