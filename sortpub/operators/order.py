@@ -32,8 +32,15 @@ def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
     stays range-partitioned and sorted inside each partition.
     """
     cols = _record_columns(df, columns)
-    order = sort_columns(df, key, cols, tiebreak)
-    ranked = with_position(df.select(*cols, *[t for t in tiebreak if t in df.columns]),
+    present = [t for t in tiebreak if t in df.columns]
+    if not present:
+        # No source position: a row mark splits groups of identical copies over range
+        # partitions (copies are interchangeable, so the mark never changes the result;
+        # it is fixed once on the map side of the persisted range shuffle).
+        df = df.withColumn("_mark", F.monotonically_increasing_id())
+        present = ["_mark"]
+    order = sort_columns(df, key, cols, tuple(present))
+    ranked = with_position(df.select(*cols, *present),
                            [F.col(c).asc() for c in order], name=offset, partitions=partitions)
     return carry_cache(ranked, ranked.select(offset, *cols))
 

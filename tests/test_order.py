@@ -158,3 +158,15 @@ def test_bucket_order_hot_key_spreads(spark):
     assert [r.offset for r in got] == list(range(3000))
     keys = [r.continent for r in got]
     assert keys == sorted(keys)
+
+
+def test_hot_copies_without_source_position_spread(spark):
+    # a third of the rows are identical and there is no source position: the row mark splits them
+    rows = [(7, "same", "x", "Asia") if i % 3 == 0 else (i, f"n{i}", "x", "Asia") for i in range(3000)]
+    df = people_df(spark, rows, 4)
+    out = order.total_order(df, "id", partitions=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1000, sizes
+    assert out.count() == 3000 and out.select("offset").distinct().count() == 3000
+    assert offsets_and(out, "id") == sorted(r[0] for r in rows)
+    release()
