@@ -46,6 +46,11 @@ def stage(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
 
 _CACHED: list[DataFrame] = []
 
+# How ordered positions keep their range partitions fixed between the count read and the
+# row read: "persist" (cache; a lost block is recomputed from the same shuffle) or
+# "checkpoint" (reliable checkpoint into spark.checkpoint.dir, lineage cut).
+RANGE_STAGE = "persist"
+
 
 def release(df: DataFrame | None = None) -> None:
     """Unpersist the range caches behind ``df`` (all of them if ``df`` is None)."""
@@ -136,12 +141,13 @@ def _bases(counts: DataFrame, n_parts: int) -> DataFrame:
 
 def with_position(df: DataFrame, order: list[Column | str] | None = None, name: str = "position",
                   stage_how: str | None = "checkpoint", partitions: int | None = None,
-                  range_stage: str = "persist") -> DataFrame:
+                  range_stage: str | None = None) -> DataFrame:
     """Add ``name`` = 0..N-1 in ``order`` (or in current partition order if None).
 
     With ``order`` the result is range-partitioned and sorted inside each partition;
     ``range_stage`` ("persist" or "checkpoint") keeps the range partitions fixed.
     """
+    range_stage = range_stage or RANGE_STAGE
     if order:
         # Without an explicit count the shuffle setting applies and AQE may merge
         # adjacent ranges; both reads below see the same persisted partitions either way.

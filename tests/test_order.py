@@ -170,3 +170,18 @@ def test_hot_copies_without_source_position_spread(spark):
     assert out.count() == 3000 and out.select("offset").distinct().count() == 3000
     assert offsets_and(out, "id") == sorted(r[0] for r in rows)
     release()
+
+
+def test_range_stage_checkpoint_equals_persist(spark):
+    from sortpub.operators import position
+
+    rows = [rec(i % 23, f"n{i % 11}", f"a{i}", "Asia") for i in range(700)]
+    df = people_df(spark, rows, 3)
+    a = sorted(map(tuple, order.total_order(df, "name").collect()))
+    position.RANGE_STAGE = "checkpoint"
+    try:
+        b = sorted(map(tuple, order.total_order(df, "name").collect()))
+    finally:
+        position.RANGE_STAGE = "persist"
+    assert a == b
+    release()
