@@ -143,17 +143,29 @@ def publish_sorted(records: DataFrame, key: str, path: str, strict: bool = False
                    mode: str = "overwrite", columns: list[str] | None = None) -> dict:
     """Records in key order into one logical partition, offset = rank.
 
-    Default: range-sorted shards written in parallel with an explicit offset column.
-    ``strict``: one writer task (``repartition(1)``) for a literal single-partition log.
+    Default: range-sorted shards written in parallel with an explicit offset column,
+    straight into the topic's single ``partition=0`` directory (no dynamic partitioning,
+    hence no extra sort before the write).  ``strict``: one writer task
+    (``repartition(1)``) for a literal single-partition log.  ``append`` continues at the
+    topic's high-water mark.
     """
+    spark = records.sparkSession
     ranked = total_order(records, key, columns)
     cols = [c for c in ranked.columns if c != "offset"]
     msgs = ranked.select(serialize(cols).alias("value"), F.lit(0).alias("partition"), "offset")
+    shift = _hwm_shift(spark, path, mode)
+    if isinstance(shift, DataFrame):
+        msgs = (msgs.join(F.broadcast(shift), "partition", "left")
+                    .withColumn("offset", F.col("offset") + F.coalesce("_hwm", F.lit(0))).drop("_hwm"))
+    elif shift is not None:
+        msgs = msgs.withColumn("offset", F.col("offset") + shift)
     if strict:
         msgs = msgs.repartition(1).sortWithinPartitions("offset")
     out, obs = observed(msgs)
     started = time.time()
-    (to_topic_columns(out).write.mode(mode).partitionBy("partition").parquet(path))
+    (to_topic_columns(out).drop("partition")
+        .write.mode("append" if mode == "append" else "overwrite")
+        .parquet(f"{path.rstrip('/')}/partition=0"))
     release(ranked)  # the range cache is not needed once the topic is written
     return collect_metrics(obs, started)
 

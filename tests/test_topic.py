@@ -71,3 +71,12 @@ def test_bucket_route_keeps_keys_apart(spark, tmp_out):
     back = read_buckets(spark, tmp_out, "continent")
     got = {r.continent: r["count"] for r in back.groupBy("continent").count().collect()}
     assert got == {"North America": 2, "North_America": 1, "a/b": 1}
+
+
+def test_sorted_append_continues_offsets(spark, tmp_out):
+    df = people_df(spark, [(i, f"n{i}", "a", "Asia") for i in range(15)])
+    topic.publish_sorted(df, "id", tmp_out)
+    topic.publish_sorted(df, "id", tmp_out, mode="append")
+    back = topic.read_topic(spark, tmp_out)
+    assert sorted(r.offset for r in back.collect()) == list(range(30))
+    assert {r.partition for r in back.collect()} == {0}
