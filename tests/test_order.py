@@ -185,3 +185,13 @@ def test_range_stage_checkpoint_equals_persist(spark):
         position.RANGE_STAGE = "persist"
     assert a == b
     release()
+
+
+def test_key_profile_exact_and_approx(spark):
+    from sortpub.operators import profile
+
+    df = people_df(spark, [rec(i % 150, cont=f"c{i % 6}") for i in range(3000)])
+    exact = profile.key_profile(df, "continent").first()
+    assert (exact.sample_rows, exact.distinct_keys, exact.strategy) == (3000, 6, "bucket")
+    approx = profile.key_profile_approx(df, "id").first()
+    assert approx.rows == 3000 and 140 <= approx.approx_distinct_keys <= 160

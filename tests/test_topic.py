@@ -80,3 +80,12 @@ def test_sorted_append_continues_offsets(spark, tmp_out):
     back = topic.read_topic(spark, tmp_out)
     assert sorted(r.offset for r in back.collect()) == list(range(30))
     assert {r.partition for r in back.collect()} == {0}
+
+
+def test_strict_and_sharded_publish_agree(spark, tmp_out):
+    df = people_df(spark, [(i % 9, f"n{i}", f"a{i}", "Asia") for i in range(120)], 4)
+    topic.publish_sorted(df, "id", f"{tmp_out}/a")
+    topic.publish_sorted(df, "id", f"{tmp_out}/b", strict=True)
+    a = sorted((r.offset, r.value) for r in topic.read_topic(spark, f"{tmp_out}/a").collect())
+    b = sorted((r.offset, r.value) for r in topic.read_topic(spark, f"{tmp_out}/b").collect())
+    assert a == b and [o for o, _ in a] == list(range(120))
