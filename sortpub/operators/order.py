@@ -12,9 +12,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, carry_cache, stage, with_position
+from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, with_position
 from sortpub.operators.profile import CHUNK_SIZE, LOW_CARDINALITY_THRESHOLD, key_profile
 from sortpub.schema import SOURCE_POSITION, check_key, serialize, sort_columns
+from sortpub.session import stage
 
 
 def _record_columns(df: DataFrame, columns: list[str] | None) -> list[str]:
@@ -34,15 +35,14 @@ def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
     cols = _record_columns(df, columns)
     present = [t for t in tiebreak if t in df.columns]
     if not present:
-        # No source position: a row mark splits groups of identical copies over range
-        # partitions (copies are interchangeable, so the mark never changes the result;
-        # it is fixed once on the map side of the persisted range shuffle).
-        df = df.withColumn("_mark", F.monotonically_increasing_id())
+        # No source position: copies are split by their place in a staged copy of the rows
+        # (fixed files, so a retried task marks its rows as before).
+        df = stage(df.select(*cols), "rows").withColumn("_mark", F.monotonically_increasing_id())
         present = ["_mark"]
     order = sort_columns(df, key, cols, tuple(present))
-    ranked = with_position(df.select(*cols, *present),
-                           [F.col(c).asc() for c in order], name=offset, partitions=partitions)
-    return carry_cache(ranked, ranked.select(offset, *cols))
+    ranked = with_position(df.select(*cols, *present), [F.col(c).asc() for c in order], name="_rank",
+                           partitions=partitions)
+    return ranked.select(F.col("_rank").alias(offset), *cols)
 
 
 def sorted_runs(df: DataFrame, key: str, position: str = "position", chunk: int = CHUNK_SIZE,
@@ -84,10 +84,10 @@ def bucket_order(df: DataFrame, key: str, salts: int | None = None,
     if not src:
         # No row identity: mark rows and stage, so identical copies still spread and
         # both reads below see the same marks.
-        df = stage(df.withColumn("_mark", F.monotonically_increasing_id()), "checkpoint")
+        df = stage(df).withColumn("_mark", F.monotonically_increasing_id())
         src = ["_mark"]
     salted = df.withColumn("_s", F.pmod(F.xxhash64(*src), F.lit(s)).cast("int"))
-    counts = stage(salted.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n")), "checkpoint")
+    counts = stage(salted.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n")))
     if counts.count() > min(max_keys * s, MAX_BROADCAST_PARTITIONS):
         # Too many keys for a bucket order: the (key, salt) table would grow with the
         # data.  The total order gives the same (offset, key) pairs without it.
@@ -110,11 +110,11 @@ def sort_auto(df: DataFrame, key: str, probe: DataFrame | None = None,
 
 
 def sort_all_keys(parsed: DataFrame, keys: list[str] | tuple[str, ...] = ("id", "name", "continent"),
-                  columns: list[str] | None = None, share: str | None = "persist") -> DataFrame:
+                  columns: list[str] | None = None) -> DataFrame:
     """One parse, every key: (sort_key, offset, value) for each ordered output."""
     for k in keys:
         check_key(parsed, k)
-    shared = stage(parsed, share) if share else parsed
+    shared = stage(parsed, "parsed")
     cols = _record_columns(shared, columns)
     outs = [
         total_order(shared, k, cols).select(F.lit(k).alias("sort_key"), "offset",

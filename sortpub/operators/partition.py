@@ -17,10 +17,9 @@ def round_robin_columns(position: Column, n: int) -> tuple[Column, Column]:
             F.floor(position / F.lit(n)).cast("long").alias("offset"))
 
 
-def round_robin(df: DataFrame, n: int, order: list[Column | str] | None = None,
-                stage_how: str | None = "checkpoint") -> DataFrame:
+def round_robin(df: DataFrame, n: int, order: list[Column | str] | None = None) -> DataFrame:
     """C1 with deterministic numbering: global position (in ``order`` or arrival order)."""
-    pos = with_position(df, order, name="_pos", stage_how=stage_how)
+    pos = with_position(df, order, name="_pos")
     part, off = round_robin_columns(F.col("_pos"), n)
     return pos.select(part, off, *[c for c in df.columns]).drop("_pos")
 

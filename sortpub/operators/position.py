@@ -1,81 +1,27 @@
 """Global position (rank) of every row without a single-partition step.
 
-Ordered form: ``repartitionByRange(n, order)`` with n from the size of the files the
-plan reads (or the session setting when unknown), persisted once.  Both later reads --
-a count per range partition and the rows sorted inside each partition -- come from that
-one shuffle dependency, so they see the same range bounds and the same partitions; a
-lost cached block is recomputed from the same shuffle (same partitioner,
-content-deterministic input), so an executor loss does not change any position.  The
-count table has one row per partition: prefix sums over it are broadcast (size checked)
-and position = base(partition) + row index inside the sorted partition.
-
-Unordered form (arrival order): the frame is staged first (reliable checkpoint under
-``spark.checkpoint.dir``) unless the caller states it is deterministic (a file scan).
+The rows are range-partitioned and sorted (or taken in their present order), and written
+once under the shared scratch folder together with the partition number ``_p`` and the row
+index ``_i`` inside it.  Everything later reads that one copy: a count per partition (a scan
+of two small columns), prefix sums over the counts (one row per partition), and
+``position = base(_p) + _i``.  Nothing is cached, no later run can see stale rows, and a lost
+executor costs a re-read only.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortpub.session import checkpoint_root
+from sortpub.session import stage
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
-# The base table has one row per partition; broadcast it only below this bound.
+# Bytes of input per range partition.
+PARTITION_BYTES = 128 << 20
+# The base table has one row per partition; it is broadcast up to this many, joined beyond.
 MAX_BROADCAST_PARTITIONS = 1_000_000
-
-
-def stage(df: DataFrame, how: str | None = "checkpoint") -> DataFrame:
-    """Cut lineage so that two reads of ``df`` agree row for row.
-
-    ``checkpoint``: reliable checkpoint into the shared checkpoint directory (survives
-    executor loss); ``persist``: cache, recomputed from deterministic lineage on loss;
-    ``None``: the caller guarantees ``df`` is deterministic (e.g. a plain file scan).
-    """
-    if how == "checkpoint":
-        checkpoint_root(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if how is None:
-        return df
-    raise ValueError(f"unknown stage mode {how!r}")
-
-
-_CACHED: list[DataFrame] = []
-
-# How ordered positions keep their range partitions fixed between the count read and the
-# row read: "persist" (cache; a lost block is recomputed from the same shuffle) or
-# "checkpoint" (reliable checkpoint into spark.checkpoint.dir, lineage cut).
-RANGE_STAGE = "persist"
-
-
-def release(df: DataFrame | None = None) -> None:
-    """Unpersist the range caches behind ``df`` (all of them if ``df`` is None)."""
-    if df is None:
-        while _CACHED:
-            _CACHED.pop().unpersist()
-        return
-    for frame in getattr(df, "_sortpub_cached", []):
-        frame.unpersist()
-        if frame in _CACHED:
-            _CACHED.remove(frame)
-
-
-def carry_cache(src: DataFrame, out: DataFrame) -> DataFrame:
-    """Let ``out`` (derived from ``src``) know the range caches it reads."""
-    out._sortpub_cached = list(getattr(src, "_sortpub_cached", []))
-    return out
-
-
-def partition_bound(spark) -> int:
-    """Most range partitions a shuffle can produce under the session settings."""
-    conf = spark.conf
-    initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    base = int(conf.get("spark.sql.shuffle.partitions"))
-    return max(base, int(initial)) if initial and initial.strip().lower() not in ("", "none") else base
+_UNKNOWN_BYTES = 1 << 60
 
 
 def _physical_scan_bytes(plan) -> int:
@@ -90,89 +36,67 @@ def _physical_scan_bytes(plan) -> int:
             total += _physical_scan_bytes(leaf.relation().cacheBuilder().cachedPlan())
         elif name == "AdaptiveSparkPlanExec":
             total += _physical_scan_bytes(leaf.inputPlan())
-        else:
-            raise ValueError(name)
+        elif name == "RDDScanExec":
+            total += PARTITION_BYTES * int(leaf.rdd().getNumPartitions())
     return total
 
 
-def scan_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files ``df`` reads (through cached plans), or None if unknown.
+def scan_bytes(df: DataFrame) -> int:
+    """Bytes of the sources ``df`` reads (through cached plans).
 
-    File sizes, not the optimizer's estimates: without CBO an inner join is estimated
-    as the product of its inputs.
+    Source sizes, not the optimizer's estimate of the result: without column statistics an
+    inner join is estimated as the product of its inputs.  A checkpointed or RDD-backed
+    frame counts its partitions.  A source that states no size raises; the caller then
+    gives the partition count.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            leaf = leaves.apply(i)
-            name = leaf.getClass().getSimpleName()
-            if name == "LogicalRelation":
-                total += int(leaf.relation().sizeInBytes())
-            elif name == "InMemoryRelation":
-                total += _physical_scan_bytes(leaf.cacheBuilder().cachedPlan())
-            elif name in ("LocalRelation", "Range", "OneRowRelation"):
-                continue
-            else:
-                return None
-        return total
-    except Exception:  # noqa: BLE001 - unknown plan shapes or no JVM view: no estimate
-        return None
-
-
-def range_partitions(df: DataFrame, bytes_per_partition: int = 128 << 20) -> int | None:
-    """Range partitions for a sort of ``df``: one per ``bytes_per_partition`` of input
-    files, at least the default parallelism; None (session setting) when unknown."""
-    size = scan_bytes(df)
-    if size is None:
-        return None
-    try:
-        floor = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, min(-(-size // bytes_per_partition), MAX_BROADCAST_PARTITIONS))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        name = leaf.getClass().getSimpleName()
+        if name == "LogicalRelation":
+            total += int(leaf.relation().sizeInBytes())
+        elif name == "InMemoryRelation":
+            total += _physical_scan_bytes(leaf.cacheBuilder().cachedPlan())
+        elif name == "LogicalRDD":
+            total += PARTITION_BYTES * int(leaf.rdd().getNumPartitions())
+        else:
+            size = int(leaf.stats().sizeInBytes().toString())
+            if size >= _UNKNOWN_BYTES:
+                raise ValueError(f"{name} states no size; pass partitions=")
+            total += size
+    return total
 
 
-def _bases(counts: DataFrame, n_parts: int) -> DataFrame:
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    return F.broadcast(bases) if n_parts <= MAX_BROADCAST_PARTITIONS else bases
+def range_partitions(df: DataFrame, bytes_per_partition: int = PARTITION_BYTES) -> int:
+    """Range partitions for a sort of ``df``: one per ``bytes_per_partition`` of input,
+    at least the default parallelism."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-scan_bytes(df) // bytes_per_partition))
 
 
 def with_position(df: DataFrame, order: list[Column | str] | None = None, name: str = "position",
-                  stage_how: str | None = "checkpoint", partitions: int | None = None,
-                  range_stage: str | None = None) -> DataFrame:
-    """Add ``name`` = 0..N-1 in ``order`` (or in current partition order if None).
+                  partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 0..N-1 in ``order`` (or in present partition order if None).
 
-    With ``order`` the result is range-partitioned and sorted inside each partition;
-    ``range_stage`` ("persist" or "checkpoint") keeps the range partitions fixed.
+    With ``order`` the staged copy is range-partitioned and sorted inside each partition.
+    The order should be total up to identical rows; rows that tie keep one repeatable
+    position each, because the staged copy fixes it.
     """
-    range_stage = range_stage or RANGE_STAGE
+    body = df
     if order:
-        # Without an explicit count the shuffle setting applies and AQE may merge
-        # adjacent ranges; both reads below see the same persisted partitions either way.
         partitions = partitions or range_partitions(df)
-        n_parts = partitions or partition_bound(df.sparkSession)
-        ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-        ranged = stage(ranged, range_stage)
-        if range_stage == "persist":
-            # Built by the count branch (a broadcast stage, which completes before the
-            # stage that reads the rows); the row branch then reads the cached blocks.
-            _CACHED.append(ranged)
-        counts = ranged.groupBy(F.spark_partition_id().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-        body = ranged.sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+        body = df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
     else:
-        body = stage(df.withColumn("_m", F.monotonically_increasing_id()), stage_how)
-        try:
-            n_parts = body.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): use the setting
-            n_parts = partition_bound(df.sparkSession)
-        counts = body.groupBy(F.shiftright("_m", _ROW_BITS).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    out = (
-        body.withColumn("_p", F.shiftright("_m", _ROW_BITS).cast("int"))
-        .join(_bases(counts, n_parts), "_p", "inner")
-        .withColumn(name, F.col("_base") + F.col("_m").bitwiseAND(F.lit(_ROW_MASK)))
-    )
-    out = out.drop("_m", "_p", "_base")
-    out._sortpub_cached = [ranged] if order and range_stage == "persist" else []
-    return out
+        partitions = df.rdd.getNumPartitions()
+    mark = F.monotonically_increasing_id()
+    staged = stage(body.withColumn("_m", mark).select(
+        *df.columns, F.shiftright("_m", _ROW_BITS).alias("_p"),
+        F.col("_m").bitwiseAND(F.lit(_ROW_MASK)).alias("_i")), f"position_{name}")
+    counts = staged.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    if partitions <= MAX_BROADCAST_PARTITIONS:
+        bases = F.broadcast(bases)
+    return (staged.join(bases, "_p")
+                  .withColumn(name, F.col("_base") + F.col("_i"))
+                  .drop("_p", "_i", "_base"))

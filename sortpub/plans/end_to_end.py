@@ -13,8 +13,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from sortpub.operators import parse, verify
-from sortpub.operators.position import stage
 from sortpub.schema import RECORD_COLUMNS, SORT_KEYS
+from sortpub.session import stage
 from sortpub.sources import generate, lines as line_io, topic
 
 POS = ["partition", "offset"]
@@ -25,9 +25,8 @@ def consume_and_publish(spark: SparkSession, source_path: str, out_root: str,
     """Snapshot the source topic, parse it once, publish every key in order."""
     started = time.time()
     parsed = parse.parse(topic.snapshot_read(spark, source_path, name="source"), keep=POS)
-    # The parse is shared by every key; its lineage is deterministic (a bounded
-    # snapshot of parquet files), so a lost cached block is simply recomputed.
-    shared = stage(parsed, "persist")
+    # The parse is shared by every key: staged once.
+    shared = stage(parsed, "parsed")
     parse.rejects(shared, keep=POS).write.mode("overwrite").parquet(f"{out_root}/_rejects")
     valid = parse.valid(shared, keep=POS)
 
@@ -39,7 +38,6 @@ def consume_and_publish(spark: SparkSession, source_path: str, out_root: str,
             metrics = dict(pool.map(one, keys))
     else:
         metrics = dict(one(k) for k in keys)
-    shared.unpersist()
     metrics["seconds"] = time.time() - started
     return metrics
 
@@ -59,15 +57,10 @@ def check_outputs(spark: SparkSession, source_path: str, out_root: str,
 
 
 def run(spark: SparkSession, lines: DataFrame, out_root: str, order: list[str] | None = None,
-        partitions: int = 3, keys: tuple[str, ...] = SORT_KEYS, scan_input: bool = False) -> dict:
-    """Publish ``lines`` as the source topic, then every ordered output.
-
-    ``scan_input``: ``lines`` is a plain file scan (deterministic partitions and row
-    order), so arrival-order numbering needs no staged copy of the input.
-    """
+        partitions: int = 3, keys: tuple[str, ...] = SORT_KEYS) -> dict:
+    """Publish ``lines`` as the source topic, then every ordered output."""
     t0 = time.time()
-    pub = topic.publish_lines(lines, f"{out_root}/source", partitions, order,
-                              stage_how=None if scan_input and not order else "checkpoint")
+    pub = topic.publish_lines(lines, f"{out_root}/source", partitions, order)
     res = consume_and_publish(spark, f"{out_root}/source", out_root, keys)
     return {"publish": pub, "sort": res, "seconds": time.time() - t0}
 
@@ -78,7 +71,7 @@ def run_generated(spark: SparkSession, n: int, out_root: str, seed: int = 42) ->
     line_io.write_records(generate.generate_people(spark, n, seed), f"{out_root}/data_csv")
     gen_s = time.time() - t0
     lines = line_io.read_lines(spark, f"{out_root}/data_csv")
-    out = run(spark, lines, out_root, scan_input=True)
+    out = run(spark, lines, out_root)
     out["generate_seconds"] = gen_s
     out["seconds"] = time.time() - t0
     return out

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from sortpub.functions.text import bucket_label, split_fields, strict_int, trim_ws
 from sortpub.operators import order, parse, profile, verify
 from sortpub.operators.partition import bucket_route, read_buckets, round_robin
-from sortpub.operators.position import stage, with_position
+from sortpub.operators.position import with_position
 from sortpub.plans import views
 from sortpub.schema import RECORD_COLUMNS, key_text, serialize
-from sortpub.session import literal_frame, scratch_path
+from sortpub.session import literal_frame, scratch_path, stage
 from sortpub.sources import generate, lines as line_io, topic
 from sortpub.streaming.snapshot import stream_snapshot
 
@@ -129,7 +129,7 @@ def q_sorted_runs(spark, sf):
 
 
 def q_merge_runs(spark, sf):
-    v = stage(_valid(spark, sf), "persist")
+    v = stage(_valid(spark, sf))
     runs = [v.where(F.col("partition") == p).sortWithinPartitions("name", *REC) for p in range(3)]
     return order.merge_runs(runs, "name")
 
@@ -159,7 +159,7 @@ def q_top_n(spark, sf):
 # ---- 2.5 aggregations -------------------------------------------------------------------
 
 def q_key_profile(spark, sf):
-    v = stage(_valid(spark, sf), "persist")
+    v = stage(_valid(spark, sf))
     return reduce(DataFrame.unionByName, [profile.key_profile(v, k) for k in ("id", "name", "continent")])
 
 
@@ -180,7 +180,7 @@ def q_run_stats(spark, sf):
 # ---- 2.6 verification -----------------------------------------------------------------
 
 def _published_name(spark, sf) -> tuple[DataFrame, DataFrame]:
-    v = stage(_valid(spark, sf), "persist")
+    v = stage(_valid(spark, sf))
     path = scratch_path(spark, "name")
     topic.publish_sorted(v.select(*POS, *REC), "name", path)
     back = parse.parse(topic.read_topic(spark, path, "name"), keep=["offset"])
@@ -249,7 +249,7 @@ def q_topic_stats(spark, sf):
 
 def q_append_vs_replace(spark, sf):
     out = []
-    src = stage(views.lines(spark, sf), "persist")
+    src = stage(views.lines(spark, sf))
     for mode in ("append", "overwrite"):
         path = scratch_path(spark, f"source_{mode}")
         for _ in range(2):
@@ -268,7 +268,7 @@ def q_publish_sorted(spark, sf):
 
 
 def q_peek_sorted(spark, sf):
-    v = stage(_valid(spark, sf), "persist")
+    v = stage(_valid(spark, sf))
     root = scratch_path(spark, "sorted")
     peeks = []
     for k in ("id", "name", "continent"):

@@ -68,10 +68,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("o_orderkey", damaged_line(serialize(), rec, F.col("o_orderkey") % 50).alias("value"))
 
 
-def source(spark: SparkSession, sf_dir: str, stage_how: str | None = "checkpoint") -> DataFrame:
+def source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(partition, offset, value): ``lines`` numbered in o_orderkey order, round robin over 3."""
-    numbered = with_position(lines(spark, sf_dir), [F.col("o_orderkey").asc()], name="_pos",
-                             stage_how=stage_how)
+    numbered = with_position(lines(spark, sf_dir), [F.col("o_orderkey").asc()], name="_pos")
     part, off = round_robin_columns(F.col("_pos"), SOURCE_PARTITIONS)
     return numbered.select(part, off, "value")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sortpub") -> SparkSession:
@@ -31,28 +31,56 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory; set a private one only when none is configured."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (Spark Connect)
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a shared directory") from None
-        return configured
+    """The shared checkpoint directory the session names.
+
+    A private folder is made only when none is configured and the master is local (tests);
+    on a cluster a node-local folder would hide files from the other nodes, so that raises.
+    """
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached without cluster configuration (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a directory all nodes share")
         configured = tempfile.mkdtemp(prefix="sortpub-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's scratch folder under the shared checkpoint root."""
+    return f"{checkpoint_root(spark).rstrip('/')}/sortpub-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint root."""
-    return f"{checkpoint_root(spark).rstrip('/')}/sortpub-{uuid.uuid4().hex[:12]}/{name}"
+    """A fresh, unique path under the application's scratch folder."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex[:12]}/{name}"
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete one path through Hadoop's file system (used for scratch and topic roots)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(target, True))
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application staged; frames read from it are void afterwards."""
+    drop_path(spark, scratch_root(spark))
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once under the shared scratch folder and read it back.
+
+    Cuts the lineage: later reads agree row for row, survive lost executors, and prune
+    columns.  ``drop_scratch`` removes the files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: list[tuple[str, str]]):

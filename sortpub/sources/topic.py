@@ -17,7 +17,7 @@ from sortpub.operators.metrics import collect_metrics, observed
 from sortpub.operators.order import total_order
 from sortpub.operators.parse import filter_lines
 from sortpub.operators.partition import round_robin_columns
-from sortpub.operators.position import release, with_position
+from sortpub.operators.position import with_position
 from sortpub.schema import serialize
 from sortpub.session import literal_frame
 
@@ -111,7 +111,7 @@ def _hwm_shift(spark: SparkSession, path: str, mode: str) -> Column | DataFrame
 
 
 def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[str] | None = None,
-                  mode: str = "overwrite", stage_how: str | None = "checkpoint",
+                  mode: str = "overwrite",
                   value: str = "value") -> dict:
     """A4: line filter -> round robin over ``partitions`` -> directory topic, with metrics.
 
@@ -122,7 +122,7 @@ def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[
     spark = lines.sparkSession
     kept = filter_lines(lines.select(value, *(order or [])), value)
     numbered = with_position(kept, [F.col(c).asc() for c in order] if order else None,
-                             name="_pos", stage_how=stage_how)
+                             name="_pos")
     part, off = round_robin_columns(F.col("_pos"), partitions)
     msgs = numbered.select(F.col(value).alias("value"), part, off)
     shift = _hwm_shift(spark, path, mode)
@@ -135,7 +135,6 @@ def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[
     out, obs = observed(msgs)
     started = time.time()
     write_topic(out, path, mode)
-    release(numbered)
     return collect_metrics(obs, started)
 
 
@@ -166,7 +165,6 @@ def publish_sorted(records: DataFrame, key: str, path: str, strict: bool = False
     (to_topic_columns(out).drop("partition")
         .write.mode("append" if mode == "append" else "overwrite")
         .parquet(f"{path.rstrip('/')}/partition=0"))
-    release(ranked)  # the range cache is not needed once the topic is written
     return collect_metrics(obs, started)
 
 
