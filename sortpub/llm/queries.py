@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sortpub.llm import decontaminate, licenses, line_dedup, mixing, sharding, toxicity
+from sortpub.llm import (decontaminate, licenses, line_dedup, mixing, phrase_dedup, setsketch, sharding, suffix_dedup, topk_nra,
+                         toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,14 +20,30 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.phrase_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -35,6 +52,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_toxicity, op5_sharding, op7_line_dedup, op9_mixing, op10_licenses)}
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_toxicity, op3_suffix_dedup, op4_near_dedup, op5_sharding, op6_topk, op7_line_dedup,
+    op8_phrase_dedup, op9_mixing, op10_licenses)}
 
-SQL = {"op7_line_dedup": line_dedup.SQL, "op9_mixing": mixing.SQL, "op10_licenses": licenses.SQL}
+SQL = {"op6_topk": topk_nra.SQL, "op7_line_dedup": line_dedup.SQL, "op9_mixing": mixing.SQL, "op10_licenses": licenses.SQL}

@@ -81,9 +81,10 @@ def column_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Row slices of about ``limit`` bytes of ``column`` (one row at least), so that the work
-    arrays of a step stay small whatever the batch size."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21,
+           rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Row slices of about ``limit`` bytes of ``column`` and at most ``rows`` rows (one row at
+    least), so that the work arrays of a step stay small whatever the batch size."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -91,7 +92,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         at = 0
         while at < batch.num_rows:
             done = int(ends[at - 1]) if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            to = max(at + 1, min(at + rows, int(np.searchsorted(ends, done + limit, side="right"))))
             yield batch.slice(at, to - at)
             at = to
 
@@ -131,49 +132,34 @@ def gram_starts(first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at[fits], row[fits]
 
 
-def window_minima(h: np.ndarray, row: np.ndarray, w: int) -> np.ndarray:
-    """Winnowing: indexes of the smallest hash in every window of ``w`` neighbours of a row
-    (the last one of equals).  A row with fewer than ``w`` gives its smallest.
-
-    ``h`` holds the hashes of all rows, one row after the other; ``row`` their rows.
-    """
-    n = len(h)
-    if not n:
-        return np.zeros(0, np.int64)
-    # A row's end is padded by the largest value: windows that would leave the row see less.
-    counts = np.bincount(row)
-    counts = counts[counts > 0]
-    pad = w - 1
-    start = np.concatenate(([0], np.cumsum(counts)))
-    shift = np.repeat(np.arange(len(counts)) * pad, counts)
-    wide = np.full(n + pad * len(counts), np.iinfo(np.uint64).max, dtype=_U)
-    where = np.arange(n) + shift
-    wide[where] = h
-    low, span = wide, 1
+def _sliding(values: np.ndarray, w: int, op) -> np.ndarray:
+    """op over every ``w`` neighbours (len - w + 1 results), by doubling."""
+    out, span = values, 1
     while span < w:
         step = min(span, w - span)
-        nxt = low.copy()
-        np.minimum(low[:-step], low[step:], out=nxt[:-step])
-        low, span = nxt, span + step
-    # A window begins at every item but the last w - 1 of its row (a short row has one).
-    begin = np.ones(n, dtype=bool)
-    left = np.repeat(start[1:], counts) - np.arange(n)
-    begin[left < w] = False
-    begin[start[:-1]] = True
-    least = low[where[begin]]
-    # The last position with that value inside the window: items equal to the minimum of a
-    # window that covers them.  Forward fill keeps this linear.
-    got = np.zeros(len(wide), dtype=bool)
-    begins = where[begin]
-    hit = np.full(len(begins), -1, dtype=np.int64)
-    todo = np.arange(len(begins))
-    for step in range(w - 1, -1, -1):
-        if not len(todo):
-            break
-        at = begins[todo] + step
-        ok = at < len(wide)
-        ok[ok] = wide[at[ok]] == least[todo[ok]]
-        hit[todo[ok]] = at[ok]
-        todo = todo[~ok]
-    got[hit[hit >= 0]] = True
-    return np.flatnonzero(got[where])
+        out = op(out[:-step], out[step:])
+        span += step
+    return out
+
+
+def picks(pre: np.ndarray, first: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Winnowing over k-grams: (place, row, hash) of every gram that is the smallest (or equal to
+    it) of ``w`` neighbouring grams of its row.
+
+    ``pre``: ``prefix`` of the items of all rows, one row after the other; ``first``: first item of
+    every row (len + 1).  Any k + w - 1 items of a row hold a pick, and equal stretches of that
+    length hold equal picks at equal places.
+    """
+    n = int(first[-1])
+    none = np.zeros(0, np.int64)
+    if n < k + w - 1:
+        return none, none, none.astype(_U)
+    h = mix((pre[k:] - pre[:-k]) * _powers(n + 1)[1][:n - k + 1])
+    low = _sliding(h, w, np.minimum)
+    ends = np.repeat(first[1:], np.diff(first))[:len(low)]
+    low = np.where(np.arange(len(low)) + (k + w - 1) <= ends, low, _U(0))
+    wide = np.zeros(len(low) + 2 * (w - 1), dtype=_U)
+    wide[w - 1:w - 1 + len(low)] = low
+    high = _sliding(wide, w, np.maximum)          # of the windows that hold the gram
+    at = np.flatnonzero((high == h) & (high > 0))
+    return at, np.searchsorted(first, at, side="right") - 1, h[at]
