@@ -267,7 +267,7 @@ def drop_phrases(docs: DataFrame, hot: int = HOT) -> DataFrame:
     places = total // 6 // (SPAN + 1) * 2                # about six bytes a word
     n_prints, n_parts = max(8, places // R.PART_PRINTS), max(8, places // SHARD_SEGMENTS)
     marks = with_position(R.recurring(firsts, _prints, n_prints, hot, per_document=True), R.DOC, "r")
-    held = stage(firsts.join(marks, R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
+    held = stage(firsts.join(marks, R.DOC).dropDuplicates(R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
     sent = stage(held.select("r", F.col("d1").alias("q"), "text", "keys")
                      .mapInArrow(_segments_task(n_prints, n_parts), "kind int, part int, blob binary"), "segments")
     shape = "r long, s long, e long"

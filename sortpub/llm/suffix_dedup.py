@@ -364,7 +364,7 @@ def repeated_spans(texts: DataFrame, total_bytes: int, hot: int = HOT) -> tuple[
     n_prints = max(8, places // R.PART_PRINTS)
     n_parts = max(8, places // PART_SUFFIXES)
     marks = with_position(R.recurring(texts, _prints, n_prints, hot), R.DOC, "r")
-    held = stage(texts.join(marks, R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
+    held = stage(texts.join(marks, R.DOC).dropDuplicates(R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
     sent = stage(held.select("r", "text", "keys").mapInArrow(_runs_task(n_prints, n_parts, n_parts), "kind int, part int, blob binary"), "runs")
     shape = "r long, s long, e long"
     spans = (sent.where("kind = 2").select("blob").mapInArrow(_unpack, shape)
