@@ -61,7 +61,7 @@ def scan_bytes(df: DataFrame) -> int:
         elif name == "LogicalRDD":
             total += PARTITION_BYTES * int(leaf.rdd().getNumPartitions())
         else:
-            size = int(leaf.stats().sizeInBytes().toString())
+            size = int(str(leaf.stats().sizeInBytes()))
             if size >= _UNKNOWN_BYTES:
                 raise ValueError(f"{name} states no size; pass partitions=")
             total += size
