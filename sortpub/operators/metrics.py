@@ -5,20 +5,21 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def observed(df: DataFrame, value: str = "value") -> tuple[DataFrame, Observation]:
-    """Attach counters (records, bytes) that arrive when the frame is written."""
+def observed(df: DataFrame, counters: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """Attach counters that arrive when the frame is computed."""
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, F.count(F.lit(1)).alias("sent"),
-                      F.coalesce(F.sum(F.octet_length(value)), F.lit(0)).alias("bytes")), obs
+    return df.observe(obs, *[c.alias(n) for n, c in counters.items()]), obs
 
 
-def collect_metrics(obs: Observation, started: float) -> dict:
-    """Sent / failed / throughput.  A failed write raises, so ``failed`` is 0 on return."""
-    m = obs.get
+def sent_counters(value: str = "value") -> dict[str, Column]:
+    return {"sent": F.count(F.lit(1)), "bytes": F.coalesce(F.sum(F.octet_length(value)), F.lit(0))}
+
+
+def throughput(counts: dict, started: float) -> dict:
+    """Counters with seconds and records/s.  A failed write raises: there is no partial success to count."""
     secs = max(time.time() - started, 1e-9)
-    return {"sent": int(m["sent"]), "failed": 0, "bytes": int(m["bytes"]),
-            "seconds": secs, "records_per_sec": m["sent"] / secs}
+    return {**{k: int(v) for k, v in counts.items()}, "seconds": secs, "records_per_sec": counts["sent"] / secs}

@@ -1,8 +1,7 @@
-"""Total order, sorted runs, merge, bucket order, automatic choice, top-n.
+"""Total order, bucket order, rank within runs, merge, automatic choice, top-n.
 
-Every total order sorts by the key, then every other record column, then the
-source position: the order is repeatable, and a hot key (or a group of identical
-copies) is spread over many range partitions instead of landing in one task.
+Every order ends in a tie-break that splits copies: a hot key, or a group of identical rows, is
+spread over many range partitions instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -12,113 +11,102 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortpub.operators.position import MAX_BROADCAST_PARTITIONS, with_position
-from sortpub.operators.profile import CHUNK_SIZE, LOW_CARDINALITY_THRESHOLD, key_profile
+from sortpub.operators.position import with_position
+from sortpub.operators.profile import LOW_CARDINALITY_THRESHOLD, key_profile
 from sortpub.schema import SOURCE_POSITION, check_key, serialize, sort_columns
 from sortpub.session import stage
 
+RUN_ROWS = 500_000
 
-def _record_columns(df: DataFrame, columns: list[str] | None) -> list[str]:
-    if columns is not None:
-        return list(columns)
-    return [c for c in df.columns if c not in SOURCE_POSITION]
+
+def _record_columns(df: DataFrame, columns: list[str] | None, tiebreak: tuple[str, ...]) -> list[str]:
+    return list(columns) if columns is not None else [c for c in df.columns if c not in tiebreak]
+
+
+def _with_tiebreak(df: DataFrame, cols: list[str], tiebreak: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """``df`` and its columns that tell rows apart.
+
+    Without any, rows are marked by their place in a staged copy: the files are fixed, so a
+    retried task marks its rows as before.
+    """
+    present = [t for t in tiebreak if t in df.columns]
+    if present:
+        return df.select(*cols, *present), present
+    return stage(df.select(*cols), "rows").withColumn("_mark", F.monotonically_increasing_id()), ["_mark"]
 
 
 def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
                 tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset",
                 partitions: int | None = None) -> DataFrame:
-    """Rows of ``df`` with ``offset`` = rank in (key, rest, tiebreak) order.
+    """Rows of ``df`` with ``offset`` = rank in (key, rest, tiebreak) order; nulls first.
 
-    Range exchange + sort, then the global position of ``with_position``; the output
-    stays range-partitioned and sorted inside each partition.
+    Range exchange and sort, then the global position of ``with_position``.
     """
-    cols = _record_columns(df, columns)
-    present = [t for t in tiebreak if t in df.columns]
-    if not present:
-        # No source position: copies are split by their place in a staged copy of the rows
-        # (fixed files, so a retried task marks its rows as before).
-        df = stage(df.select(*cols), "rows").withColumn("_mark", F.monotonically_increasing_id())
-        present = ["_mark"]
-    order = sort_columns(df, key, cols, tuple(present))
-    ranked = with_position(df.select(*cols, *present), [F.col(c).asc() for c in order], name="_rank",
-                           partitions=partitions)
+    check_key(df, key)
+    cols = _record_columns(df, columns, tiebreak)
+    rows, present = _with_tiebreak(df, cols, tiebreak)
+    order = sort_columns(rows, key, cols, tuple(present))
+    ranked = with_position(rows, [F.col(c).asc() for c in order], name="_rank", partitions=partitions)
     return ranked.select(F.col("_rank").alias(offset), *cols)
 
 
-def sorted_runs(df: DataFrame, key: str, position: str = "position", chunk: int = CHUNK_SIZE,
-                columns: list[str] | None = None) -> DataFrame:
-    """Cut arrival order into runs of ``chunk`` rows; rank each run on its own.
+def bucket_order(df: DataFrame, key: str, columns: list[str] | None = None,
+                 tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset",
+                 partitions: int | None = None) -> DataFrame:
+    """Buckets in key order (null first), order inside a bucket free.
 
-    A run never exceeds ``chunk`` rows, so no window partition grows with the data.
+    Inside a bucket rows stand by their hash, which is cheaper to compare than the whole
+    record, and range partitions cut a large bucket at any hash; there is no per-bucket group.
     """
-    cols = [c for c in _record_columns(df, columns) if c != position]
+    check_key(df, key)
+    cols = _record_columns(df, columns, tiebreak)
+    rows, present = _with_tiebreak(df, cols, tiebreak)
+    ranked = with_position(rows, [F.col(key).asc(), F.xxhash64(*cols), *present], name="_rank", partitions=partitions)
+    return ranked.select(F.col("_rank").alias(offset), *cols)
+
+
+def sort_auto(df: DataFrame, key: str, threshold: int = LOW_CARDINALITY_THRESHOLD,
+              tiebreak: tuple[str, ...] = SOURCE_POSITION) -> tuple[str, DataFrame]:
+    """The strategy verdict over the whole table, and the ordered rows.
+
+    Both verdicts give the same order: the range sort splits few hot keys as well as many, so
+    the verdict tells about the data and never changes the published table.
+    """
+    verdict = key_profile(df, key, threshold=threshold).first()["strategy"]
+    return verdict, total_order(df, key, tiebreak=tiebreak)
+
+
+def rank_in_runs(df: DataFrame, key: str, position: str = "position", rows: int = RUN_ROWS,
+                 columns: list[str] | None = None) -> DataFrame:
+    """Rank by ``key`` inside every ``rows`` consecutive positions.
+
+    A window partition holds at most ``rows`` rows.
+    """
+    check_key(df, key)
+    cols = [c for c in _record_columns(df, columns, ()) if c != position]
     order = [key, *[c for c in cols if c != key], position]
-    run = F.floor(F.col(position) / F.lit(chunk)).cast("long")
     w = Window.partitionBy("run").orderBy(*order)
-    return (df.withColumn("run", run)
+    return (df.withColumn("run", F.expr(f"`{position}` div {rows}"))
               .withColumn("rank", F.row_number().over(w) - 1)
               .select("run", "rank", position, *cols))
 
 
 def merge_runs(runs: list[DataFrame], key: str, columns: list[str] | None = None,
                tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset") -> DataFrame:
-    """Merge sorted runs into one order, duplicates kept (union, then total order)."""
+    """Several inputs into one order, duplicates kept: a union and one range sort."""
     merged = reduce(lambda a, b: a.unionByName(b), runs)
     return total_order(merged, key, columns, tiebreak, offset)
 
 
-def bucket_order(df: DataFrame, key: str, salts: int | None = None,
-                 salt_columns: list[str] | None = None, offset: str = "offset",
-                 max_keys: int = LOW_CARDINALITY_THRESHOLD) -> DataFrame:
-    """Low-cardinality order; buckets in key order, in-bucket order free.
-
-    Each key is split into ``salts`` sub-buckets by a hash of the record (or of its
-    source position), so no task holds a whole bucket.  The (key, salt) count table is
-    small: it is checkpointed, its size checked, then prefix sums are broadcast;
-    offset = base(key, salt) + row number within (key, salt).
-    """
-    check_key(df, key)
-    spark = df.sparkSession
-    s = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = salt_columns or [c for c in SOURCE_POSITION if c in df.columns]
-    if not src:
-        # No row identity: mark rows and stage, so identical copies still spread and
-        # both reads below see the same marks.
-        df = stage(df).withColumn("_mark", F.monotonically_increasing_id())
-        src = ["_mark"]
-    salted = df.withColumn("_s", F.pmod(F.xxhash64(*src), F.lit(s)).cast("int"))
-    counts = stage(salted.groupBy(key, "_s").agg(F.count(F.lit(1)).alias("_n")))
-    if counts.count() > min(max_keys * s, MAX_BROADCAST_PARTITIONS):
-        # Too many keys for a bucket order: the (key, salt) table would grow with the
-        # data.  The total order gives the same (offset, key) pairs without it.
-        return total_order(df.drop("_mark"), key, offset=offset)
-    before = Window.orderBy(key, "_s").rowsBetween(Window.unboundedPreceding, -1)
-    bases = F.broadcast(counts.select(key, "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
-    in_bucket = Window.partitionBy(key, "_s").orderBy(*src)
-    return (salted.join(bases, [key, "_s"], "inner")
-                  .withColumn(offset, F.col("_base") + F.row_number().over(in_bucket) - 1)
-                  .drop("_s", "_base", "_mark"))
-
-
-def sort_auto(df: DataFrame, key: str, probe: DataFrame | None = None,
-              threshold: int = LOW_CARDINALITY_THRESHOLD) -> tuple[str, DataFrame]:
-    """Bucket order when the head sample has < ``threshold`` distinct keys, else total order."""
-    prof = key_profile(probe if probe is not None else df, key, threshold=threshold).first()
-    if prof["strategy"] == "bucket":
-        return "bucket", bucket_order(df, key, max_keys=threshold)
-    return "merge", total_order(df, key)
-
-
 def sort_all_keys(parsed: DataFrame, keys: list[str] | tuple[str, ...] = ("id", "name", "continent"),
-                  columns: list[str] | None = None) -> DataFrame:
+                  columns: list[str] | None = None, tiebreak: tuple[str, ...] = SOURCE_POSITION) -> DataFrame:
     """One parse, every key: (sort_key, offset, value) for each ordered output."""
     for k in keys:
         check_key(parsed, k)
     shared = stage(parsed, "parsed")
-    cols = _record_columns(shared, columns)
+    cols = _record_columns(shared, columns, tiebreak)
     outs = [
-        total_order(shared, k, cols).select(F.lit(k).alias("sort_key"), "offset",
-                                            serialize(cols).alias("value"))
+        total_order(shared, k, cols, tiebreak).select(F.lit(k).alias("sort_key"), "offset", serialize(cols).alias("value"))
         for k in keys
     ]
     return reduce(lambda a, b: a.unionByName(b), outs)
@@ -127,9 +115,8 @@ def sort_all_keys(parsed: DataFrame, keys: list[str] | tuple[str, ...] = ("id",
 def top_n(df: DataFrame, key: str, n: int, columns: list[str] | None = None,
           tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset") -> DataFrame:
     """First ``n`` rows in key order (TakeOrderedAndProject, no full sort)."""
-    cols = _record_columns(df, columns)
+    cols = _record_columns(df, columns, tiebreak)
     order = [F.col(c).asc() for c in sort_columns(df, key, cols, tiebreak)]
     head = df.orderBy(*order).limit(n)
     # At most n rows reach this window: the limit is the feature.
     return head.withColumn(offset, F.row_number().over(Window.orderBy(*order)) - 1).select(offset, *cols)
-

@@ -18,25 +18,6 @@ def filter_lines(df: DataFrame, value: str = "value") -> DataFrame:
     return df.where(keep_line(value)).withColumn(value, trim_ws(value))
 
 
-def parse_columns(parts: Column) -> list[Column]:
-    """Record columns plus ``reject_reason`` (null for a valid record) from split parts.
-
-    Single-expression form (used where the parts are already a column); ``parse``
-    stages the same logic so that each piece is computed once per line.
-    """
-    fields = [trim_ws(F.get(parts, i)) for i in range(4)]
-    enough = F.size(parts) == 4
-    rid = F.when(enough, strict_int(fields[0]))
-    reason = F.when(~enough, F.lit(FEW_FIELDS)).when(rid.isNull(), F.lit(BAD_ID))
-    return [
-        rid.alias("id"),
-        F.when(enough, fields[1]).alias("name"),
-        F.when(enough, fields[2]).alias("address"),
-        F.when(enough, fields[3]).alias("continent"),
-        reason.alias("reject_reason"),
-    ]
-
-
 def parse(df: DataFrame, value: str = "value", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Parse every line once; ``keep`` carries source columns (e.g. partition, offset).
 
@@ -68,11 +49,8 @@ def _route(parsed: DataFrame, cond: Column, keep: list[str], cols: list[str]) ->
     A plain filter on ``reject_reason`` is pushed below the parse projections and
     re-inlines them (the parse runs twice per line); a generator is not, so the parse
     runs once.  ``keep`` columns ride beside the generator, so filters on them (e.g. a
-    head sample on partition/offset) still reach the scan.  On a cached parse there is
-    nothing to re-run: a plain filter is used.
+    head sample on partition/offset) still reach the scan.
     """
-    if getattr(parsed, "is_cached", False):
-        return parsed.where(cond).select(*keep, *cols)
     return (parsed.select(*keep, F.explode(F.when(cond, F.array(F.struct(*cols)))).alias("_r"))
                   .select(*keep, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 

@@ -1,4 +1,4 @@
-"""Key profile (head sample), bucket counts, run statistics."""
+"""Key profile, bucket counts, run statistics: aggregates over the whole table."""
 
 from __future__ import annotations
 
@@ -7,61 +7,26 @@ from pyspark.sql import functions as F
 
 from sortpub.schema import check_key
 
-# Fixed values of the strategy choice: head sample size and distinct-key threshold
-# (strictly fewer distinct keys than the threshold selects the bucket strategy).
-CHUNK_SIZE = 500_000
+# Fixed value: strictly fewer distinct keys than this are few (verdict ``bucket``).
 LOW_CARDINALITY_THRESHOLD = 200
 
 
-# Up to this many source partitions the head is expressed as literal predicates, which
-# reach the parquet scan (directory pruning + offset range pushdown).
-_LITERAL_PARTITIONS = 64
+def key_profile(df: DataFrame, key: str, threshold: int = LOW_CARDINALITY_THRESHOLD) -> DataFrame:
+    """Rows, distinct keys (null is none) and the strategy verdict, one row.
 
-
-def head_sample(df: DataFrame, size: int = CHUNK_SIZE, partition: str = "partition",
-                offset: str = "offset") -> DataFrame:
-    """Lowest offsets of every source partition, in equal shares summing to ``size``.
-
-    One row per source partition of statistics is collected (bounded by the topic's
-    partition count; only the two coordinate columns are scanned).  The head is then
-    a literal filter, pushed to the scan, so only the head is read.  Without source
-    coordinates the whole frame is used.
+    Counted per key first: a hot key is summed up before the shuffle.
     """
-    if partition not in df.columns or offset not in df.columns:
-        return df
-    stats = df.groupBy(partition).agg(F.min(offset).alias("_oldest")).collect()
-    if not stats:
-        return df
-    share = -(-size // len(stats))
-    if len(stats) <= _LITERAL_PARTITIONS:
-        cond = F.lit(False)
-        for r in stats:
-            cond = cond | ((F.col(partition) == r[partition]) & (F.col(offset) < r["_oldest"] + share))
-        return df.where(cond)
-    shares = df.groupBy(partition).agg(F.min(offset).alias("_oldest"))
-    return (df.join(F.broadcast(shares), partition)
-              .where(F.col(offset) < F.col("_oldest") + F.lit(share))
-              .drop("_oldest"))
-
-
-def key_profile(df: DataFrame, key: str, size: int = CHUNK_SIZE,
-                threshold: int = LOW_CARDINALITY_THRESHOLD) -> DataFrame:
-    """Distinct keys in the head sample and the strategy verdict (one row)."""
-    check_key(df, key)
-    sample = head_sample(df, size)
-    return sample.agg(
-        F.count(F.lit(1)).alias("sample_rows"),
-        F.count_distinct(F.col(key)).alias("distinct_keys"),
+    counts = bucket_counts(df, key)
+    return counts.agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("rows"), F.count(F.col(key)).alias("distinct_keys"),
     ).select(
-        F.lit(key).alias("sort_key"),
-        "sample_rows",
-        "distinct_keys",
+        F.lit(key).alias("sort_key"), "rows", "distinct_keys",
         F.when(F.col("distinct_keys") < threshold, F.lit("bucket")).otherwise(F.lit("merge")).alias("strategy"),
     )
 
 
 def key_profile_approx(df: DataFrame, key: str, rsd: float = 0.05) -> DataFrame:
-    """E1, whole-table variant: HyperLogLog estimate of the distinct keys."""
+    """E1 without a shuffle of keys: HyperLogLog estimate of the distinct keys."""
     check_key(df, key)
     return df.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(key, rsd).alias("approx_distinct_keys"))
 
@@ -73,7 +38,7 @@ def bucket_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def run_stats(runs: DataFrame, key: str, run: str = "run") -> DataFrame:
-    """Records and key range per sorted run."""
+    """Records and key range per run."""
     return runs.groupBy(run).agg(
         F.count(F.lit(1)).alias("records"),
         F.min(key).alias("min_key"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sortpub.domains import ADDRESS_LEN, CONTINENTS, ID_MAX, ID_MIN, NAME_LEN
 from sortpub.functions.text import comma_count
 from sortpub.schema import RECORD_COLUMNS, serialize
 
@@ -18,41 +19,26 @@ def _key(cols: list[str]) -> Column:
 def check_sorted(df: DataFrame, key: list[str] | str, offset: str = "offset", block: int = BLOCK) -> DataFrame:
     """is ``df`` in ``key`` order along ``offset``, with offsets 0..N-1 exactly once?
 
-    Rows are cut into blocks of ``block`` offsets; ``lag`` runs inside each block (a
-    window partition never exceeds ``block`` rows) and the first/last key of adjacent
-    blocks are compared over the small block table.
+    One pass: rows are cut into blocks of ``block`` offsets, and a block's first row goes to
+    the block before as well, where it closes the last step.  ``lag`` runs inside a block (a window
+    partition holds at most ``block`` + 1 distinct offsets).
     """
     cols = [key] if isinstance(key, str) else list(key)
-    k = _key(cols)
-    blk = F.floor(F.col(offset) / F.lit(block)).cast("long")
-    w = Window.partitionBy("_blk").orderBy(offset)
-    rows = (df.select(blk.alias("_blk"), F.col(offset), k.alias("_k"))
-              .withColumn("_prev_k", F.lag("_k").over(w))
-              .withColumn("_prev_o", F.lag(offset).over(w)))
-    blocks = rows.groupBy("_blk").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.when(F.col("_prev_k") > F.col("_k"), 1).otherwise(0)).alias("_inner"),
-        F.sum(F.when(F.col(offset) - F.col("_prev_o") != 1, 1).otherwise(0)).alias("_steps"),
-        F.min(offset).alias("_lo"), F.max(offset).alias("_hi"),
-        F.min_by("_k", offset).alias("_first"), F.max_by("_k", offset).alias("_last"),
-    )
-    nxt = blocks.select((F.col("_blk") - 1).alias("_blk"), F.col("_first").alias("_next_first"))
-    edges = blocks.join(nxt, "_blk", "left")
-    out = edges.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
-        (F.coalesce(F.sum("_inner"), F.lit(0))
-         + F.coalesce(F.sum(F.when(F.col("_last") > F.col("_next_first"), 1).otherwise(0)), F.lit(0))
-         ).alias("out_of_order"),
-        F.min("_lo").alias("_min"), F.max("_hi").alias("_max"), F.sum("_steps").alias("_steps"),
-    )
-    gaps_bad = (F.coalesce(F.col("_steps"), F.lit(0)) > 0) | (F.col("rows") > 0) & (
-        (F.col("_min") != 0) | (F.col("_max") != F.col("rows") - 1))
-    return out.select(
-        F.col("rows").cast("long").alias("rows"),
-        F.col("out_of_order").cast("long").alias("out_of_order"),
-        F.coalesce(gaps_bad, F.lit(False)).alias("position_gaps"),
-        ((F.col("out_of_order") == 0) & ~F.coalesce(gaps_bad, F.lit(False))).alias("sorted"),
+    own = F.expr(f"`{offset}` div {block}")
+    both = F.when((F.col(offset) % block == 0) & (F.col(offset) > 0), F.array(own, own - 1)).otherwise(F.array(own))
+    rows = df.select(F.col(offset).alias("_o"), _key(cols).alias("_k"), own.alias("_own"), F.explode(both).alias("_blk"))
+    w = Window.partitionBy("_blk").orderBy("_o")
+    steps = rows.select("_o", (F.col("_own") == F.col("_blk")).alias("_real"), "_k",
+                        F.lag("_k").over(w).alias("_prev_k"), F.lag("_o").over(w).alias("_prev_o"))
+    out = steps.agg(
+        F.count_if("_real").alias("rows"),
+        F.count_if(F.col("_prev_k") > F.col("_k")).alias("out_of_order"),
+        F.count_if(F.col("_o") - F.col("_prev_o") != 1).alias("_steps"),
+        F.min("_o").alias("_min"), F.max("_o").alias("_max"),
     )
+    gaps = F.coalesce((F.col("_steps") > 0) | (F.col("_min") != 0) | (F.col("_max") != F.col("rows") - 1), F.lit(False))
+    return out.select("rows", "out_of_order", gaps.alias("position_gaps"),
+                      ((F.col("out_of_order") == 0) & ~gaps).alias("sorted"))
 
 
 def check_conserved(before: DataFrame, after: DataFrame, cols: list[str] | None = None,
@@ -88,13 +74,6 @@ def check_conserved(before: DataFrame, after: DataFrame, cols: list[str] | None
     )
 
 
-# The generator's domains.
-CONTINENTS = ("North America", "Asia", "South America", "Europe", "Africa", "Australia")
-ID_MIN, ID_MAX = 0, 50_000_000  # [min, max)
-NAME_LEN = (10, 15)
-ADDRESS_LEN = (15, 20)
-
-
 def domain_rules() -> dict[str, Column]:
     """Rule name -> predicate that holds for a record inside the generator's domains."""
     name, addr = F.col("name"), F.col("address")

@@ -1,6 +1,6 @@
 """The whole flow: lines -> source topic -> one parse -> one ordered topic per key.
 
-``run`` mirrors the reference's main program with Spark stages:
+``run`` chains the Spark stages:
 publish (A4: filter, round robin, write) -> snapshot (A5) -> parse once (B5) ->
 per key total order + positioned publish (A8/D9) -> checks (F1, F2).
 """
@@ -66,7 +66,7 @@ def run(spark: SparkSession, lines: DataFrame, out_root: str, order: list[str] |
 
 
 def run_generated(spark: SparkSession, n: int, out_root: str, seed: int = 42) -> dict:
-    """Reference flow from scratch: generate n records -> CSV with header -> topic -> sorts."""
+    """The flow from scratch: generate n records -> CSV with header -> topic -> sorts."""
     t0 = time.time()
     line_io.write_records(generate.generate_people(spark, n, seed), f"{out_root}/data_csv")
     gen_s = time.time() - t0

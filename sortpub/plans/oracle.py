@@ -7,6 +7,7 @@ slice matches the 4-field split, and a full-match guard keeps TRY_CAST strict.
 
 from __future__ import annotations
 
+from sortpub.domains import ADDRESS_LEN, ALNUM_SPACE, CONTINENTS, DIGITS, ID_MAX, ID_MIN, LETTERS, NAME_LEN
 from sortpub.functions.text import WHITESPACE_CODEPOINTS
 from sortpub.plans.queries import PEEK_N, RUN_CHUNK, TOP_N
 
@@ -52,19 +53,15 @@ LINES = f"""lines AS (
     END AS value
   FROM people)"""
 
-SOURCE = """source AS (
-  SELECT CAST(pos % 3 AS INTEGER) AS partition, CAST(pos // 3 AS BIGINT) AS "offset", value
-  FROM (SELECT value, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM lines))"""
-
 PARSED = f"""split AS (
-  SELECT partition, "offset", value, string_split(value, ',') AS p FROM source),
+  SELECT o_orderkey, value, string_split(value, ',') AS p FROM lines),
 fields AS (
-  SELECT partition, "offset", value, len(p) >= 4 AS ok,
+  SELECT o_orderkey, value, len(p) >= 4 AS ok,
          {_trim('p[1]')} AS f0, {_trim('p[2]')} AS f1, {_trim('p[3]')} AS f2,
          {_trim("array_to_string(p[4:], ',')")} AS f3
   FROM split),
 parsed AS (
-  SELECT partition, "offset", value,
+  SELECT o_orderkey, value,
          CASE WHEN ok THEN {_strict('f0')} END AS id,
          CASE WHEN ok THEN f1 END AS name,
          CASE WHEN ok THEN f2 END AS address,
@@ -72,11 +69,11 @@ parsed AS (
          ok
   FROM fields),
 valid AS (
-  SELECT partition, "offset", id, name, address, continent FROM parsed WHERE ok AND id IS NOT NULL)"""
+  SELECT o_orderkey, id, name, address, continent FROM parsed WHERE ok AND id IS NOT NULL)"""
 
 WITH_PEOPLE = f"WITH {PEOPLE}\n"
 WITH_LINES = f"WITH {PEOPLE},\n{LINES}\n"
-WITH_VALID = f"WITH {PEOPLE},\n{LINES},\n{SOURCE},\n{PARSED}\n"
+WITH_VALID = f"WITH {PEOPLE},\n{LINES},\n{PARSED}\n"
 
 
 def _rank(key: str, rest: list[str]) -> str:
@@ -110,7 +107,7 @@ EVENT_TOPIC = """event_topic AS (
   FROM events)"""
 
 ARRIVAL = """arrival AS (
-  SELECT "offset" * 3 + partition AS position, id, name, address, continent FROM valid),
+  SELECT o_orderkey AS position, id, name, address, continent FROM valid),
 runs AS (
   SELECT CAST(floor(position / {chunk}) AS BIGINT) AS run,
          row_number() OVER (PARTITION BY CAST(floor(position / {chunk}) AS BIGINT)
@@ -118,19 +115,12 @@ runs AS (
          position, id, name, address, continent
   FROM arrival)""".format(chunk=RUN_CHUNK)
 
-SAMPLE = """st AS (SELECT partition, min("offset") AS lo FROM valid GROUP BY partition),
-np AS (SELECT count(*) AS n FROM st),
-sample AS (
-  SELECT v.* FROM valid v JOIN st USING (partition), np
-  WHERE v."offset" < st.lo + CAST(ceil(500000 / np.n) AS BIGINT))"""
-
-# The generator's domains (same as sortpub.operators.verify).
-_CONTINENTS = "'North America', 'Asia', 'South America', 'Europe', 'Africa', 'Australia'"
+_CONTINENTS = ", ".join(f"'{c}'" for c in CONTINENTS)
 DOMAIN_RULES = {
-    "id_range": "id BETWEEN 0 AND 49999999",
-    "name_length": "length(name) BETWEEN 10 AND 15",
+    "id_range": f"id BETWEEN {ID_MIN} AND {ID_MAX - 1}",
+    "name_length": f"length(name) BETWEEN {NAME_LEN[0]} AND {NAME_LEN[1]}",
     "name_letters": "regexp_full_match(name, '[A-Za-z]+')",
-    "address_length": "length(address) BETWEEN 15 AND 20",
+    "address_length": f"length(address) BETWEEN {ADDRESS_LEN[0]} AND {ADDRESS_LEN[1]}",
     "address_digit_first": "regexp_full_match(substring(address, 1, 1), '[0-9]')",
     "address_space_third": "substring(address, 3, 1) = ' '",
     "address_chars": "regexp_full_match(address, '[A-Za-z0-9 ]+')",
@@ -155,7 +145,41 @@ def _split4(table: str, key: str, trim: bool) -> str:
 FROM (SELECT {key}, string_split(value, ',') AS p FROM {table})"""
 
 
+def _sha(field: str) -> str:
+    return f"sha256('42|' || CAST(o_orderkey AS VARCHAR) || '|{field}')"
+
+
+def _text(field: str, digests: int) -> str:
+    return " || ".join(_sha(f"{field}.{i}") for i in range(digests))
+
+
+def _draw(h: str, j: str) -> str:
+    return f"('0x' || substr({h}, ({j}) * 4 + 1, 4))::INTEGER"
+
+
+def _wide(h: str) -> str:
+    return f"('0x' || substr({h}, 1, 12))::BIGINT"
+
+
+def _chars(h: str, charset: str, sizes: tuple[int, int]) -> str:
+    size = f"{sizes[0]} + {_draw(h, '0')} % {sizes[1] - sizes[0] + 1}"
+    return (f"array_to_string(list_transform(range(1, 1 + {size}), "
+            f"lambda j: substr('{charset}', {_draw(h, 'j')} % {len(charset)} + 1, 1)), '')")
+
+
 ORACLES: dict[str, str] = {
+    "generate_people": f"""WITH k AS (
+  SELECT o_orderkey, {_sha('id')} AS hi, {_text('name', 1)} AS hn, {_text('address', 2)} AS ha, {_sha('digit')} AS hd, {_sha('continent')} AS hc
+  FROM orders)
+SELECT o_orderkey, CAST({_wide('hi')} % {ID_MAX} AS INTEGER) AS id,
+  {_chars('hn', LETTERS, NAME_LEN)} AS name,
+  '{DIGITS}'[CAST({_wide('hd')} % 10 AS INTEGER) + 1] || a[2] || ' ' || substr(a, 4) AS address,
+  [{_CONTINENTS}][({_draw('hc', '0')} % {len(CONTINENTS)}) + 1] AS continent
+FROM (SELECT *, {_chars('ha', ALNUM_SPACE, ADDRESS_LEN)} AS a FROM k)""",
+    "line_roundtrip": """WITH base AS (
+  SELECT c_custkey % 6 AS k, concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, '1 x', c_mktsegment) AS r FROM customer)
+SELECT CASE k WHEN 0 THEN '#' || r WHEN 1 THEN r || chr(1) || 'tail' WHEN 2 THEN '"' || r || '" ' WHEN 3 THEN '  ' || r
+              WHEN 4 THEN r || chr(10) || r ELSE r END AS value, k <> 4 AS written FROM base""",
     "csv_roundtrip": f"{WITH_VALID}SELECT id, name, address, continent FROM valid",
     "read_lines": f"{WITH_LINES}SELECT value FROM lines WHERE value <> ''",
     "publish_source": f"{WITH_LINES},\n{PUBLISHED}\nSELECT partition, \"offset\", value FROM published",
@@ -164,10 +188,12 @@ ORACLES: dict[str, str] = {
 SELECT 'event_topic' AS topic, partition, min("offset") AS oldest, max("offset") + 1 AS hwm,
        count(*) AS records
 FROM event_topic GROUP BY partition""",
-    "append_vs_replace": f"""{WITH_LINES},\n{KEPT}
-SELECT 'append' AS mode, 2 * count(*) AS records, 2 * count(*) AS distinct_positions FROM kept
-UNION ALL
-SELECT 'overwrite' AS mode, count(*) AS records, count(*) AS distinct_positions FROM kept""",
+    "append_vs_replace": f"""{WITH_VALID},\n{KEPT},
+n AS (SELECT count(*) AS k, least(count(*), 3) AS p FROM kept), v AS (SELECT count(*) AS k, least(count(*), 1) AS p FROM valid)
+SELECT 'append' AS mode, 2 * k AS records, 2 * k AS distinct_positions, p AS partitions FROM n
+UNION ALL SELECT 'overwrite', k, k, p FROM n
+UNION ALL SELECT 'ignore', k, k, p FROM n
+UNION ALL SELECT 'sorted over lines', k, k, p FROM v""",
     "publish_sorted": f"""{WITH_VALID}SELECT {_rank('id', ['name', 'address', 'continent'])} AS "offset",
   {_ser()} AS value FROM valid""",
     "peek_sorted": f"""{WITH_VALID},
@@ -191,11 +217,11 @@ WHERE {_trim('value')} <> ''
     "strict_int": f"""{WITH_LINES}SELECT o_orderkey, f0 AS id_text, {_strict('f0')} AS id
 FROM (SELECT o_orderkey, {_trim("string_split(value, ',')[1]")} AS f0 FROM lines)""",
     "parse_valid": f"{WITH_VALID}SELECT * FROM valid",
-    "parse_rejects": f"""{WITH_VALID}SELECT partition, "offset", value,
+    "parse_rejects": f"""{WITH_VALID}SELECT o_orderkey, value,
   CASE WHEN NOT ok THEN 'few_fields' ELSE 'bad_id' END AS reject_reason
 FROM parsed WHERE NOT ok OR id IS NULL""",
     "serialize_record": f"{WITH_PEOPLE}SELECT o_orderkey, {_ser()} AS value FROM people",
-    "key_text": f"""{WITH_VALID}SELECT partition, "offset", CAST(id AS VARCHAR) AS id_key, name AS name_key,
+    "key_text": f"""{WITH_VALID}SELECT o_orderkey, CAST(id AS VARCHAR) AS id_key, name AS name_key,
   continent AS continent_key FROM valid""",
     "bucket_label": f"""{WITH_VALID}SELECT continent, replace(continent, ' ', '_') AS label, count(*) AS records
 FROM valid GROUP BY continent""",
@@ -207,9 +233,12 @@ FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documen
     "sort_by_continent": _sorted("continent"),
     "sorted_runs": f"{WITH_VALID},\n{ARRIVAL}\nSELECT * FROM runs",
     "merge_runs": _sorted("name"),
-    "bucket_order": f"""{WITH_VALID}SELECT row_number() OVER (ORDER BY continent) - 1 AS "offset", continent FROM valid""",
-    "sort_auto": """SELECT row_number() OVER (ORDER BY p_name) - 1 AS "offset", p_name AS name FROM part""",
-    "sort_auto_id": f"""{WITH_VALID}SELECT row_number() OVER (ORDER BY id) - 1 AS "offset", id FROM valid""",
+    "bucket_order": f"""{WITH_VALID}SELECT row_number() OVER (ORDER BY c NULLS FIRST) - 1 AS "offset", c AS continent
+FROM (SELECT CASE WHEN o_orderkey % 11 <> 0 THEN continent END AS c FROM valid)""",
+    "sort_auto": """SELECT row_number() OVER (ORDER BY p_name) - 1 AS "offset", p_name AS name,
+  CASE WHEN (SELECT count(DISTINCT p_name) FROM part) < 200 THEN 'bucket' ELSE 'merge' END AS strategy FROM part""",
+    "sort_auto_id": f"""{WITH_VALID}SELECT {_rank('id', ['name', 'address', 'continent'])} AS "offset", id, name, address, continent,
+  CASE WHEN (SELECT count(DISTINCT id) FROM valid) < 200 THEN 'bucket' ELSE 'merge' END AS strategy FROM valid""",
     "global_position": """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders""",
     "sort_all_keys": f"""{WITH_VALID}{_sorted_values('id')}
 UNION ALL {_sorted_values('name')}
@@ -217,22 +246,26 @@ UNION ALL {_sorted_values('continent')}""",
     "top_n": f"""{WITH_VALID}SELECT * FROM (
   SELECT {_rank('name', ['id', 'address', 'continent'])} AS "offset", id, name, address, continent FROM valid)
 WHERE "offset" < {TOP_N}""",
-    "key_profile": f"""{WITH_VALID},
-{SAMPLE}
-SELECT 'id' AS sort_key, count(*) AS sample_rows, count(DISTINCT id) AS distinct_keys,
-       CASE WHEN count(DISTINCT id) < 200 THEN 'bucket' ELSE 'merge' END AS strategy FROM sample
-UNION ALL
-SELECT 'name', count(*), count(DISTINCT name), CASE WHEN count(DISTINCT name) < 200 THEN 'bucket' ELSE 'merge' END FROM sample
-UNION ALL
-SELECT 'continent', count(*), count(DISTINCT continent),
-       CASE WHEN count(DISTINCT continent) < 200 THEN 'bucket' ELSE 'merge' END FROM sample""",
+    "key_profile": WITH_VALID + " UNION ALL ".join(
+        f"""SELECT '{k}' AS sort_key, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys,
+       CASE WHEN count(DISTINCT {k}) < 200 THEN 'bucket' ELSE 'merge' END AS strategy FROM valid"""
+        for k in ("id", "name", "continent")),
     "bucket_counts": f"{WITH_VALID}SELECT continent, count(*) AS records FROM valid GROUP BY continent",
-    "publish_metrics": f"""{WITH_LINES},\n{KEPT}
-SELECT count(*) AS sent, 0 AS failed, coalesce(sum(strlen(value)), 0) AS bytes FROM kept""",
+    "publish_metrics": f"""{WITH_LINES},
+t AS (SELECT value, {_trim('value')} AS v FROM lines),
+u AS (SELECT v, length(v) - length(replace(v, ',', '')) AS commas FROM t)
+SELECT count(*) AS read, count_if(v = '') AS dropped_blank, count_if(v <> '' AND commas < 3) AS dropped_few_fields,
+       count_if(commas >= 3) AS sent, CAST(coalesce(sum(strlen(v)) FILTER (WHERE commas >= 3), 0) AS BIGINT) AS bytes FROM u""",
     "run_stats": f"""{WITH_VALID},\n{ARRIVAL}
 SELECT run, count(*) AS records, min(id) AS min_key, max(id) AS max_key FROM runs GROUP BY run""",
-    "check_sorted": f"""{WITH_VALID}SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order,
-  false AS position_gaps, true AS sorted FROM valid""",
+    "check_sorted": f"""{WITH_VALID},
+damaged AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 1000 = 500 THEN o_orderkey + 1 WHEN o_orderkey % 1000 = 501 THEN o_orderkey - 1
+                               WHEN o_orderkey % 5000 = 7 THEN o_orderkey + 1 ELSE o_orderkey END AS o FROM orders),
+lagged AS (SELECT o, k, lag(k) OVER (ORDER BY o, k) AS pk, lag(o) OVER (ORDER BY o, k) AS po FROM damaged),
+bad AS (SELECT count(*) AS n, count_if(pk > k) AS wrong, coalesce(bool_or(o - po <> 1), false) OR min(o) <> 0 OR max(o) <> count(*) - 1 AS holes FROM lagged)
+SELECT 'published' AS topic, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order, false AS position_gaps, true AS sorted FROM valid
+UNION ALL SELECT 'damaged', n, wrong, holes, wrong = 0 AND NOT holes FROM bad""",
     "check_conserved": f"""{WITH_VALID}SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS missing,
   CAST(0 AS BIGINT) AS extra, true AS fingerprint_equal FROM valid""",
     "check_domains": _domains(),

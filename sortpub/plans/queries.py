@@ -25,18 +25,18 @@ from sortpub.streaming.snapshot import stream_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 REC = RECORD_COLUMNS
-POS = ["partition", "offset"]
+KEY = ["o_orderkey"]          # what tells the lines apart
 RUN_CHUNK = 1_000
 TOP_N = 10
 PEEK_N = 10
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse(views.source(spark, sf), keep=POS)
+    return parse.parse(views.lines(spark, sf), keep=KEY)
 
 
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.valid(_parsed(spark, sf), keep=POS)
+    return parse.valid(_parsed(spark, sf), keep=KEY)
 
 
 # ---- 2.2 projections, filters, scalar functions -------------------------------------
@@ -72,7 +72,7 @@ def q_parse_valid(spark, sf):
 
 
 def q_parse_rejects(spark, sf):
-    return parse.rejects(_parsed(spark, sf), keep=POS)
+    return parse.rejects(_parsed(spark, sf), keep=KEY)
 
 
 def q_serialize_record(spark, sf):
@@ -80,7 +80,7 @@ def q_serialize_record(spark, sf):
 
 
 def q_key_text(spark, sf):
-    return _valid(spark, sf).select(*POS, *[key_text(k).alias(f"{k}_key") for k in ("id", "name", "continent")])
+    return _valid(spark, sf).select(*KEY, *[key_text(k).alias(f"{k}_key") for k in ("id", "name", "continent")])
 
 
 def q_bucket_label(spark, sf):
@@ -92,7 +92,7 @@ def q_bucket_label(spark, sf):
 
 def q_round_robin(spark, sf):
     docs = views.doc_lines(spark, sf).select("doc_id")
-    return round_robin(docs, 3, order=["doc_id"])
+    return round_robin(docs, views.TOPIC_PARTITIONS, order=["doc_id"])
 
 
 def q_bucket_route(spark, sf):
@@ -104,15 +104,15 @@ def q_bucket_route(spark, sf):
 # ---- 2.4 sorts, positions, top-n --------------------------------------------------------
 
 def q_sort_by_id(spark, sf):
-    return order.total_order(_valid(spark, sf), "id")
+    return order.total_order(_valid(spark, sf), "id", tiebreak=KEY)
 
 
 def q_sort_by_name(spark, sf):
-    return order.total_order(_valid(spark, sf), "name")
+    return order.total_order(_valid(spark, sf), "name", tiebreak=KEY)
 
 
 def q_sort_by_continent(spark, sf):
-    return order.total_order(_valid(spark, sf), "continent")
+    return order.total_order(_valid(spark, sf), "continent", tiebreak=KEY)
 
 
 def q_global_position(spark, sf):
@@ -121,39 +121,45 @@ def q_global_position(spark, sf):
 
 def _arrival(spark, sf):
     v = _valid(spark, sf)
-    return v.select((F.col("offset") * 3 + F.col("partition")).alias("position"), *REC)
+    return v.select(F.col("o_orderkey").alias("position"), *REC)
 
 
 def q_sorted_runs(spark, sf):
-    return order.sorted_runs(_arrival(spark, sf), "id", chunk=RUN_CHUNK)
+    return order.rank_in_runs(_arrival(spark, sf), "id", rows=RUN_CHUNK)
 
 
 def q_merge_runs(spark, sf):
-    v = stage(_valid(spark, sf))
-    runs = [v.where(F.col("partition") == p).sortWithinPartitions("name", *REC) for p in range(3)]
-    return order.merge_runs(runs, "name")
+    v = _valid(spark, sf)
+    inputs = [v.where(F.col("o_orderkey") % views.TOPIC_PARTITIONS == p) for p in range(views.TOPIC_PARTITIONS)]
+    return order.merge_runs(inputs, "name", tiebreak=KEY)
+
+
+def _null_keys(spark, sf):
+    """Records of which some have no continent (by key)."""
+    v = _valid(spark, sf)
+    return v.withColumn("continent", F.when(F.col("o_orderkey") % 11 != 0, F.col("continent")))
 
 
 def q_bucket_order(spark, sf):
-    return order.bucket_order(_valid(spark, sf), "continent").select("offset", "continent")
+    return order.bucket_order(_null_keys(spark, sf), "continent", tiebreak=KEY).select("offset", "continent")
 
 
 def q_sort_auto(spark, sf):
-    _, out = order.sort_auto(views.low_name(spark, sf), "name")
-    return out.select("offset", "name")
+    verdict, out = order.sort_auto(views.low_name(spark, sf), "name")
+    return out.select("offset", "name", F.lit(verdict).alias("strategy"))
 
 
 def q_sort_auto_id(spark, sf):
-    _, out = order.sort_auto(_valid(spark, sf), "id")
-    return out.select("offset", "id")
+    verdict, out = order.sort_auto(_valid(spark, sf), "id", tiebreak=KEY)
+    return out.select("offset", *REC, F.lit(verdict).alias("strategy"))
 
 
 def q_sort_all_keys(spark, sf):
-    return order.sort_all_keys(_valid(spark, sf))
+    return order.sort_all_keys(_valid(spark, sf), tiebreak=KEY)
 
 
 def q_top_n(spark, sf):
-    return order.top_n(_valid(spark, sf), "name", TOP_N)
+    return order.top_n(_valid(spark, sf), "name", TOP_N, tiebreak=KEY)
 
 
 # ---- 2.5 aggregations -------------------------------------------------------------------
@@ -168,13 +174,13 @@ def q_bucket_counts(spark, sf):
 
 
 def q_publish_metrics(spark, sf):
-    m = topic.publish_lines(views.lines(spark, sf), scratch_path(spark, "source"), order=["o_orderkey"])
-    return literal_frame(spark, [(m["sent"], m["failed"], m["bytes"])],
-                         [("sent", "long"), ("failed", "long"), ("bytes", "long")])
+    m = topic.publish_lines(views.lines(spark, sf), scratch_path(spark, "source"), order=KEY, unique=True)
+    names = ["read", "dropped_blank", "dropped_few_fields", "sent", "bytes"]
+    return literal_frame(spark, [tuple(m[n] for n in names)], [(n, "long") for n in names])
 
 
 def q_run_stats(spark, sf):
-    return profile.run_stats(order.sorted_runs(_arrival(spark, sf), "id", chunk=RUN_CHUNK), "id")
+    return profile.run_stats(order.rank_in_runs(_arrival(spark, sf), "id", rows=RUN_CHUNK), "id")
 
 
 # ---- 2.6 verification -----------------------------------------------------------------
@@ -182,14 +188,19 @@ def q_run_stats(spark, sf):
 def _published_name(spark, sf) -> tuple[DataFrame, DataFrame]:
     v = stage(_valid(spark, sf))
     path = scratch_path(spark, "name")
-    topic.publish_sorted(v.select(*POS, *REC), "name", path)
+    topic.publish_sorted(v, "name", path, tiebreak=KEY)
     back = parse.parse(topic.read_topic(spark, path, "name"), keep=["offset"])
     return v, parse.valid(back, keep=["offset"])
 
 
 def q_check_sorted(spark, sf):
+    """The published order, and a damaged copy of it: two neighbours swapped across a block edge, a hole, a repeat."""
     _, back = _published_name(spark, sf)
-    return verify.check_sorted(back, "name")
+    good = verify.check_sorted(back, "name").select(F.lit("published").alias("topic"), "*")
+    o = F.col("o_orderkey")
+    bad = views.table(spark, sf, "orders").select(
+        o.alias("k"), F.when(o % 1000 == 500, o + 1).when(o % 1000 == 501, o - 1).when(o % 5000 == 7, o + 1).otherwise(o).alias("offset"))
+    return good.unionByName(verify.check_sorted(bad, "k", block=100).select(F.lit("damaged").alias("topic"), "*"))
 
 
 def q_check_conserved(spark, sf):
@@ -204,16 +215,24 @@ def q_check_domains(spark, sf):
 # ---- 2.1 sources and sinks ----------------------------------------------------------
 
 def q_generate_people(spark, sf):
-    return generate.generate_like(views.table(spark, sf, "orders"))
+    return generate.generate_for(views.table(spark, sf, "orders"), "o_orderkey")
 
 
 def q_csv_roundtrip(spark, sf):
-    path = scratch_path(spark, "people_csv")
-    line_io.write_records(_valid(spark, sf).select(*REC), path)
+    path, rejects = scratch_path(spark, "people_csv"), scratch_path(spark, "people_rejects")
+    line_io.write_records(_valid(spark, sf).select(*REC), path, rejects=rejects)
     back = parse.parse(line_io.read_lines(spark, path))
     return parse.valid(back)
 
 
+def q_line_roundtrip(spark, sf):
+    """Lines that are hard to keep: what comes back, and what went to the rejects."""
+    path, rejects = scratch_path(spark, "hard_lines"), scratch_path(spark, "hard_rejects")
+    line_io.write_lines(views.hard_lines(spark, sf), path, rejects=rejects)
+    back = line_io.read_lines(spark, path).select("value", F.lit(True).alias("written"))
+    return back.unionByName(spark.read.parquet(rejects).select("value", F.lit(False).alias("written")))
+
+
 def q_read_lines(spark, sf):
     path = scratch_path(spark, "lines_csv")
     line_io.write_lines(views.lines(spark, sf), path)
@@ -222,7 +241,7 @@ def q_read_lines(spark, sf):
 
 def q_publish_source(spark, sf):
     path = scratch_path(spark, "source")
-    topic.publish_lines(views.lines(spark, sf), path, order=["o_orderkey"])
+    topic.publish_lines(views.lines(spark, sf), path, order=KEY, unique=True)
     return topic.read_topic(spark, path, "source").select("partition", "offset", "value")
 
 
@@ -248,22 +267,29 @@ def q_topic_stats(spark, sf):
 
 
 def q_append_vs_replace(spark, sf):
+    """Publish twice by each mode; last, a sorted topic over one of three partitions."""
+    lines, records = stage(views.lines(spark, sf)), stage(_valid(spark, sf))
+
+    def totals(path, mode):
+        return topic.read_topic(spark, path).agg(
+            F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("records"),
+            F.count_distinct("partition", "offset").alias("distinct_positions"), F.count_distinct("partition").alias("partitions"))
+
     out = []
-    src = stage(views.lines(spark, sf))
-    for mode in ("append", "overwrite"):
+    for mode in ("append", "overwrite", "ignore"):
         path = scratch_path(spark, f"source_{mode}")
-        for _ in range(2):
-            topic.publish_lines(src, path, order=["o_orderkey"], mode=mode)
-        t = topic.read_topic(spark, path)
-        out.append(t.agg(F.count(F.lit(1)).alias("records"),
-                         F.count_distinct("partition", "offset").alias("distinct_positions"))
-                    .select(F.lit(mode).alias("mode"), "records", "distinct_positions"))
-    return out[0].unionByName(out[1])
+        for rows in (lines, lines.where(F.col("o_orderkey") % 2 == 0) if mode == "ignore" else lines):
+            topic.publish_lines(rows, path, order=KEY, mode=mode, unique=True)
+        out.append(totals(path, mode))
+    path = scratch_path(spark, "replaced")
+    topic.publish_lines(lines, path, order=KEY, unique=True)
+    topic.publish_sorted(records, "id", path, tiebreak=KEY)
+    return reduce(DataFrame.unionByName, [*out, totals(path, "sorted over lines")])
 
 
 def q_publish_sorted(spark, sf):
     path = scratch_path(spark, "id")
-    topic.publish_sorted(_valid(spark, sf), "id", path)
+    topic.publish_sorted(_valid(spark, sf), "id", path, tiebreak=KEY)
     return topic.read_topic(spark, path, "id").select("offset", "value")
 
 
@@ -272,7 +298,7 @@ def q_peek_sorted(spark, sf):
     root = scratch_path(spark, "sorted")
     peeks = []
     for k in ("id", "name", "continent"):
-        topic.publish_sorted(v, k, f"{root}/{k}")
+        topic.publish_sorted(v, k, f"{root}/{k}", tiebreak=KEY)
         peeks.append(topic.peek(spark, f"{root}/{k}", PEEK_N, name=k).select("topic", "offset", "value"))
     return reduce(DataFrame.unionByName, peeks)
 
@@ -291,6 +317,7 @@ def q_stream_snapshot(spark, sf):
 QUERIES: dict[str, Query] = {
     "generate_people": q_generate_people,
     "csv_roundtrip": q_csv_roundtrip,
+    "line_roundtrip": q_line_roundtrip,
     "read_lines": q_read_lines,
     "publish_source": q_publish_source,
     "snapshot_read": q_snapshot_read,

@@ -2,7 +2,7 @@
 
 ``people`` maps orders/customers onto the four-column record; ``lines`` serialises it
 and damages some lines on purpose (by ``o_orderkey % 50``) so every parse branch is
-exercised; ``source`` numbers the lines as a 3-partition topic.
+exercised; ``hard_lines`` holds values that are hard to write as lines.
 """
 
 from __future__ import annotations
@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortpub.operators.partition import round_robin_columns
-from sortpub.operators.position import with_position
 from sortpub.schema import RECORD_COLUMNS, serialize
 
-SOURCE_PARTITIONS = 3
+TOPIC_PARTITIONS = 3
 _INT_SPAN = 2_147_483_648  # ids stay inside int32 at any scale
 
 
@@ -68,11 +66,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("o_orderkey", damaged_line(serialize(), rec, F.col("o_orderkey") % 50).alias("value"))
 
 
-def source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(partition, offset, value): ``lines`` numbered in o_orderkey order, round robin over 3."""
-    numbered = with_position(lines(spark, sf_dir), [F.col("o_orderkey").asc()], name="_pos")
-    part, off = round_robin_columns(F.col("_pos"), SOURCE_PARTITIONS)
-    return numbered.select(part, off, "value")
+def hard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(c_custkey, value): lines that begin with '#', hold U+0001, quotes, outer spaces, or a line break."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 6
+    rest = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.lit("1 x"), "c_mktsegment")
+    value = (F.when(k == 0, F.concat(F.lit("#"), rest)).when(k == 1, F.concat(rest, F.lit("\u0001tail")))
+              .when(k == 2, F.concat(F.lit('"'), rest, F.lit('" '))).when(k == 3, F.concat(F.lit("  "), rest))
+              .when(k == 4, F.concat(rest, F.lit("\n"), rest)).otherwise(rest))
+    return c.select("c_custkey", value.alias("value"))
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,8 +99,8 @@ def event_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(partition, offset, value, timestamp) of events: partition = id % 3, offset = id div 3."""
     e = table(spark, sf_dir, "events")
     return e.select(
-        F.pmod(F.col("event_id"), F.lit(3)).cast("int").alias("partition"),
-        F.floor(F.col("event_id") / 3).cast("long").alias("offset"),
+        F.expr(f"cast(pmod(event_id, {TOPIC_PARTITIONS}) as int)").alias("partition"),
+        F.expr(f"event_id div {TOPIC_PARTITIONS}").alias("offset"),
         F.concat_ws(",", F.col("event_id").cast("string"), F.col("user_id").cast("string"),
                     F.col("event_type")).alias("value"),
         F.col("ts").alias("timestamp"),

@@ -45,11 +45,6 @@ def sort_columns(df: DataFrame, key: str, columns: list[str] | None = None,
     return [key, *rest, *[t for t in tiebreak if t in df.columns]]
 
 
-def output_name(key: str) -> str:
-    """Name of the ordered output for a key: the key itself."""
-    return key
-
-
 def serialize(df_cols: list[str] | None = None) -> Column:
     """Record → ``id,name,address,continent`` (no quoting, no escaping)."""
     cols = df_cols or RECORD_COLUMNS

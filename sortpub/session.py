@@ -59,6 +59,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{uuid.uuid4().hex[:12]}/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Delete one path through Hadoop's file system (used for scratch and topic roots)."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,7 +1,7 @@
-"""Seeded synthetic person records in the reference's domains.
+"""Seeded synthetic person records.
 
-Every column is a hash of (row id, field, character index, seed): the output does not
-depend on partitioning, and ``spark.range`` spreads generation over all tasks.
+Every field comes from a SHA-256 of (seed, row key, field): the same key gives the same record
+whatever the partitioning, and other engines can recompute it.  Four hex digits give one choice.
 """
 
 from __future__ import annotations
@@ -9,53 +9,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The generator's domains.
-CONTINENTS = ("North America", "Asia", "South America", "Europe", "Africa", "Australia")
-LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ALNUM_SPACE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
-DIGITS = "0123456789"
-ID_RANGE = 50_000_000
-NAME_LEN = (10, 15)
-ADDRESS_LEN = (15, 20)
+from sortpub.domains import (ADDRESS_LEN, ALNUM_SPACE, CONTINENTS, DIGITS, ID_MAX, LETTERS, NAME_LEN)
 
+_DIGEST_CHARS = 16          # choices in one digest
 
-def _h(*parts: Column | str | int, seed: int) -> Column:
-    return F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts], F.lit(seed))
 
+def digest(key: Column, field: str, seed: int) -> Column:
+    return F.sha2(F.concat_ws("|", F.lit(str(seed)), key.cast("string"), F.lit(field)), 256)
 
-def random_int(row: Column, field: str, bound: int, seed: int) -> Column:
-    """Uniform integer in [0, bound)."""
-    return F.pmod(_h(row, field, seed=seed), F.lit(bound))
 
+def draw(hashed: Column, j: Column | int, bound: int) -> Column:
+    """Choice number ``j`` (0-based) of a digest: an integer in [0, bound)."""
+    at = (j if isinstance(j, Column) else F.lit(j)) * 4 + 1
+    return F.pmod(F.conv(F.substr(hashed, at.cast("int"), F.lit(4)), 16, 10).cast("long"), F.lit(bound))
 
-def choice(row: Column, field: str, values: tuple[str, ...], seed: int) -> Column:
-    """One of ``values``."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (random_int(row, field, len(values), seed) + 1).cast("int"))
 
+def random_int(key: Column, field: str, bound: int, seed: int) -> Column:
+    """Integer in [0, bound), from twelve hex digits."""
+    wide = F.conv(F.substr(digest(key, field, seed), F.lit(1), F.lit(12)), 16, 10).cast("long")
+    return F.pmod(wide, F.lit(bound))
+
+
+def choice(key: Column, field: str, values: tuple[str, ...], seed: int) -> Column:
+    """One of ``values``."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(digest(key, field, seed), 0, len(values)) + 1).cast("int"))
 
-def random_string(row: Column, field: str, charset: str, min_len: int, max_len: int, seed: int,
-                  fixed: dict[int, Column] | None = None) -> Column:
-    """String of length in [min_len, max_len] over ``charset``; ``fixed`` pins positions (0-based)."""
-    length = (F.lit(min_len) + random_int(row, field + ".len", max_len - min_len + 1, seed)).cast("int")
-    chars = F.array(*[F.lit(c) for c in charset])
 
-    def char_at(j: Column) -> Column:
-        pick = F.element_at(chars, (F.pmod(F.xxhash64(row, F.lit(field), j, F.lit(seed)), F.lit(len(charset))) + 1).cast("int"))
-        for pos, col in (fixed or {}).items():
-            pick = F.when(j == F.lit(pos), col).otherwise(pick)
-        return pick
+def random_string(key: Column, field: str, charset: str, min_len: int, max_len: int, seed: int) -> Column:
+    """String of length in [min_len, max_len] over ``charset``.
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), length - 1), char_at), "")
+    The first choice of the first digest is the length; characters take the rest, further
+    digests as needed.
+    """
+    n_digests = -(-(max_len + 1) // _DIGEST_CHARS)
+    hashed = F.concat(*[digest(key, f"{field}.{i}", seed) for i in range(n_digests)])
+    length = (F.lit(min_len) + draw(hashed, 0, max_len - min_len + 1)).cast("int")
+    pick = lambda j: F.substr(F.lit(charset), (draw(hashed, j, len(charset)) + 1).cast("int"), F.lit(1))
+    return F.array_join(F.transform(F.sequence(F.lit(1), length), pick), "")
 
 
-def person_columns(row: Column, seed: int) -> list[Column]:
-    digit = F.element_at(F.array(*[F.lit(d) for d in DIGITS]), (random_int(row, "address.0", 10, seed) + 1).cast("int"))
+def person_columns(key: Column, seed: int) -> list[Column]:
+    """id, name, address (a digit first, a space third), continent."""
+    text = random_string(key, "address", ALNUM_SPACE, *ADDRESS_LEN, seed=seed)
+    digit = F.substr(F.lit(DIGITS), (random_int(key, "digit", len(DIGITS), seed) + 1).cast("int"), F.lit(1))
+    address = F.concat(digit, F.substr(text, F.lit(2), F.lit(1)), F.lit(" "), F.substr(text, F.lit(4)))
     return [
-        random_int(row, "id", ID_RANGE, seed).cast("int").alias("id"),
-        random_string(row, "name", LETTERS, *NAME_LEN, seed=seed).alias("name"),
-        random_string(row, "address", ALNUM_SPACE, *ADDRESS_LEN, seed=seed,
-                      fixed={0: digit, 2: F.lit(" ")}).alias("address"),
-        choice(row, "continent", CONTINENTS, seed).alias("continent"),
+        random_int(key, "id", ID_MAX, seed).cast("int").alias("id"),
+        random_string(key, "name", LETTERS, *NAME_LEN, seed=seed).alias("name"),
+        address.alias("address"),
+        choice(key, "continent", CONTINENTS, seed).alias("continent"),
     ]
 
 
@@ -65,6 +67,6 @@ def generate_people(spark: SparkSession, n: int, seed: int = 42, partitions: int
     return rows.select(*person_columns(F.col("id"), seed))
 
 
-def generate_like(df: DataFrame, seed: int = 42) -> DataFrame:
-    """A1 sized by another table: one record per row of ``df`` (row ids from its order)."""
-    return df.select(F.monotonically_increasing_id().alias("_row")).select(*person_columns(F.col("_row"), seed))
+def generate_for(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """A1 for the rows of another table: one record per row, drawn from its ``key``."""
+    return df.select(key, *person_columns(F.col(key), seed))

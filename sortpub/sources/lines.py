@@ -1,43 +1,93 @@
-"""Line files with a header line (CSV sink, line source).
+"""Line files with a header line (line sink, line source).
 
-The CSV reader/writer is used with a separator that does not occur in the data, no
-quote and no escape: each line is one value, quotes/commas/outer spaces are kept,
-and the first line of every file is dropped whatever it holds.  Files stay splittable.
-A value containing U+0001 would be cut at it; use ``read_text`` for untrusted input.
+Lines go through the text source and sink, so their content is kept exactly: quotes, commas, outer
+spaces, '#', control characters.  A value that holds a line break or a NUL is no line; it goes
+to the rejects, never into a file.  The first line of a file is its header, whatever it holds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortpub.schema import HEADER, serialize
 
-SEP = "\u0001"
-_OPTS = {"sep": SEP, "quote": "", "escape": "", "ignoreLeadingWhiteSpace": False,
-         "ignoreTrailingWhiteSpace": False}
+# Characters that can't stand inside a line.
+BREAKS = "[\\n\\r\\u0000]"
+_ROW_MASK = (1 << 33) - 1
+
+
+def is_line(value: str = "value") -> Column:
+    return F.coalesce(~F.col(value).rlike(BREAKS), F.lit(False))
+
 
+def unwritable(df: DataFrame, value: str = "value") -> DataFrame:
+    """Rows that ``write_lines`` leaves out: null, or with a line break or NUL inside."""
+    return df.where(~is_line(value))
 
-def write_lines(df: DataFrame, path: str, value: str = "value", header: str = HEADER,
-                mode: str = "overwrite") -> str:
-    """A2: one header line per part file, then the lines exactly as given."""
-    (df.select(F.col(value).alias(header))
-       .write.mode(mode).option("emptyValue", "").csv(path, header=True, **_OPTS))
+
+def write_lines(df: DataFrame, path: str, value: str = "value", header: str = HEADER, mode: str = "overwrite",
+                rejects: str | None = None) -> str:
+    """A2: a header line in every file, then the lines exactly as given.
+
+    Rows that are no line are written to ``rejects`` (Parquet); without it they raise.
+    """
+    bad = unwritable(df, value)
+    if rejects:
+        bad.write.mode(mode).parquet(rejects)
+    elif not bad.isEmpty():
+        raise ValueError("values hold line breaks, NUL or null; give a path for rejects")
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)) == 0
+    rows = df.where(is_line(value)).select(F.col(value).alias("value"), first.alias("_first"))
+    lines = rows.select(F.explode(F.when(F.col("_first"), F.array(F.lit(header), F.col("value"))).otherwise(F.array("value"))).alias("value"))
+    lines.write.mode(mode).option("lineSep", "\n").text(path)
     return path
 
 
-def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_records(df: DataFrame, path: str, mode: str = "overwrite", rejects: str | None = None) -> str:
     """A2: serialise records (``id,name,address,continent``) and write them with the header."""
-    return write_lines(df.select(serialize().alias("value")), path, mode=mode)
+    return write_lines(df.select(serialize().alias("value")), path, mode=mode, rejects=rejects)
+
+
+def _without_first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops the first row of every file: a new (file, block) that begins at byte 0."""
+    last = (None, None)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value, start, file = batch.column(0), batch.column(1), batch.column(2)
+        before_start = pa.concat_arrays([pa.array([last[1]], pa.int64()), start.slice(0, len(start) - 1)])
+        before_file = pa.concat_arrays([pa.array([last[0]], pa.int64()), file.slice(0, len(file) - 1)])
+        same = pc.fill_null(pc.and_(pc.equal(start, before_start), pc.equal(file, before_file)), False)
+        last = (file[-1].as_py(), start[-1].as_py())
+        keep = pc.or_(same, pc.not_equal(start, 0))
+        yield pa.RecordBatch.from_arrays([value.filter(keep)], names=["value"])
+
+
+def drop_headers(raw: DataFrame) -> DataFrame:
+    """Lines of a text scan (batch or stream) without each file's first line.
+
+    The scan knows file and block of a row but no line number, and what a row follows inside
+    its task has no built-in: this is the one step that runs as an Arrow batch function.
+    """
+    return (raw.select("value", F.col("_metadata.file_block_start").alias("start"), F.xxhash64("_metadata.file_path").alias("file"))
+               .mapInArrow(_without_first_lines, "value string"))
+
+
+def not_blank(df: DataFrame) -> DataFrame:
+    return df.where(F.trim("value") != "")
 
 
 def read_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """A3: one ``value`` row per non-blank line; the first line of each file is dropped."""
-    return (spark.read.schema("value string")
-            .options(lineSep="\n", mode="PERMISSIVE", **_OPTS)
-            .csv(path, header=header))
+    """A3: one ``value`` row per non-blank line; the first line of each file is dropped.  Files stay splittable."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    return not_blank(drop_headers(raw) if header else raw)
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """All lines, no header handling (any byte content)."""
-    return spark.read.text(path)
+    """All lines, no header handling."""
+    return spark.read.option("lineSep", "\n").text(path)

@@ -1,44 +1,35 @@
-"""Directory topics (parquet) and a thin Kafka reader/writer.
+"""Directory topics (Parquet), their manifest, and the Kafka form of source and sink.
 
-A directory topic is a parquet table ``partition INT, offset BIGINT, value STRING,
-timestamp TIMESTAMP``, laid out as ``partition=<n>/`` directories with files sorted by
-offset, so a per-partition read prunes directories and an offset bound is pushed
-down to row groups.
+A directory topic is a Parquet table ``partition INT, offset BIGINT, value STRING, timestamp
+TIMESTAMP`` in ``partition=<n>/`` directories, files sorted by offset, so a read of one partition
+prunes directories and an offset bound is pushed down to row groups.  Beside the data,
+``_manifest`` holds one row per partition (oldest, hwm, records): bounds and appends read it
+instead of the offsets.  A topic has one writer at a time.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sortpub.operators.metrics import collect_metrics, observed
+from sortpub.functions.text import keep_line, trim_ws
+from sortpub.operators.metrics import observed, sent_counters, throughput
 from sortpub.operators.order import total_order
 from sortpub.operators.parse import filter_lines
-from sortpub.operators.partition import round_robin_columns
-from sortpub.operators.position import with_position
-from sortpub.schema import serialize
-from sortpub.session import literal_frame
+from sortpub.operators.partition import numbered, round_robin_columns
+from sortpub.schema import SOURCE_POSITION, serialize
+from sortpub.session import drop_path, literal_frame, path_exists
 
 TOPIC_SCHEMA = "value string, timestamp timestamp, offset long, partition int"
-# Topics with at most this many partitions are snapshotted with literal predicates
-# (directory pruning + row-group pushdown); beyond it, a broadcast bounds table.
-_LITERAL_BOUNDS = 64
+MANIFEST_SCHEMA = [("partition", "int"), ("oldest", "long"), ("hwm", "long"), ("records", "long")]
+BLOCK_ROWS = 1_000_000
+MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
-
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): probe by reading
-        try:
-            spark.read.schema(TOPIC_SCHEMA).parquet(path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+Bounds = list[tuple[int, int, int]]
+Sink = str | Callable[[DataFrame], None]
 
 
 def to_topic_columns(df: DataFrame) -> DataFrame:
@@ -47,10 +38,74 @@ def to_topic_columns(df: DataFrame) -> DataFrame:
                      F.col("offset").cast("long").alias("offset"), F.col("partition").cast("int").alias("partition"))
 
 
+# -- manifest ----------------------------------------------------------------------------
+
+def _manifest_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_manifest"
+
+
+def read_manifest(spark: SparkSession, path: str) -> list[tuple[int, int, int, int]]:
+    """(partition, oldest, hwm, records) per partition; empty if there is no topic.
+
+    One row per topic partition reaches the driver.  A topic written without a manifest is
+    summed up by a scan of its offsets.
+    """
+    if not path_exists(spark, path):
+        return []
+    if path_exists(spark, _manifest_path(path)):
+        rows = spark.read.parquet(_manifest_path(path))
+    else:
+        rows = topic_stats(read_topic(spark, path))
+    return sorted(tuple(r) for r in rows.select("partition", "oldest", "hwm", "records").collect())
+
+
+def _add_to_manifest(spark: SparkSession, path: str, before: list[tuple], written: list[tuple]) -> None:
+    table = {p: (lo, hi, n) for p, lo, hi, n in before}
+    for p, lo, hi, n in written:
+        if n:
+            old = table.get(p)
+            table[p] = (min(lo, old[0]), max(hi, old[1]), n + old[2]) if old else (lo, hi, n)
+    literal_frame(spark, [(p, *v) for p, v in sorted(table.items())], MANIFEST_SCHEMA).write.mode("overwrite").parquet(_manifest_path(path))
+
+
+# -- directory reads and writes ------------------------------------------------------------
+
+def _prepare(spark: SparkSession, path: str, mode: str) -> list[tuple] | None:
+    """The manifest to add to, or None if there is nothing to write (mode ``ignore``)."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}; one of {MODES}")
+    if not path_exists(spark, path):
+        return []
+    if mode == "append":
+        return read_manifest(spark, path)
+    if mode == "overwrite":
+        drop_path(spark, path)           # the whole topic, whatever partitions it had
+        return []
+    if mode == "ignore":
+        return None
+    raise ValueError(f"topic {path} exists")
+
+
+def _write_partitions(df: DataFrame, path: str) -> None:
+    """One file per topic partition and block of offsets, sorted."""
+    (to_topic_columns(df).repartition("partition", F.expr(f"offset div {BLOCK_ROWS}")).sortWithinPartitions("partition", "offset")
+       .write.mode("append").partitionBy("partition").parquet(path))
+
+
 def write_topic(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write (partition, offset, value[, timestamp]) rows as a directory topic."""
-    (to_topic_columns(df).sortWithinPartitions("partition", "offset")
-       .write.mode(mode).partitionBy("partition").parquet(path))
+    spark = df.sparkSession
+    before = _prepare(spark, path, mode)
+    if before is None:
+        return
+    _write_partitions(df, path)
+    # After an append only the rows behind the known bounds are new; offsets go up.
+    known = {p: hi for p, _, hi, _ in before}
+    new = read_topic(spark, path)
+    if known:
+        new = new.where(F.col("offset") >= _of_partition(known))
+    stats = topic_stats(new).select("partition", "oldest", "hwm", "records").collect()
+    _add_to_manifest(spark, path, before, [tuple(r) for r in stats])
 
 
 def read_topic(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
@@ -69,126 +124,154 @@ def topic_stats(topic: DataFrame) -> DataFrame:
     )
 
 
-def capture_bounds(spark: SparkSession, path: str) -> list[tuple[int, int, int]]:
-    """(partition, oldest, hwm) per partition, captured once (one row per partition)."""
-    return [(r["partition"], r["oldest"], r["hwm"])
-            for r in topic_stats(read_topic(spark, path)).select("partition", "oldest", "hwm").collect()]
+def capture_bounds(spark: SparkSession, path: str) -> Bounds:
+    """(partition, oldest, hwm) per partition, captured once, from the manifest."""
+    return [(p, lo, hi) for p, lo, hi, _ in read_manifest(spark, path)]
 
 
-def snapshot_read(spark: SparkSession, path: str, bounds: list[tuple[int, int, int]] | None = None,
-                  name: str | None = None) -> DataFrame:
-    """A5: every message in [oldest, HWM) of each partition, bounds taken at call time."""
+def _of_partition(values: dict[int, int]) -> Column:
+    """values[partition], 0 where absent; one entry per topic partition."""
+    if not values:
+        return F.lit(0).cast("long")
+    table = F.create_map(*[x for p, v in sorted(values.items()) for x in (F.lit(p), F.lit(v).cast("long"))])
+    return F.coalesce(F.try_element_at(table, F.col("partition")), F.lit(0).cast("long"))
+
+
+def _any(conditions: list[Column]) -> Column:
+    """Disjunction as a balanced tree (a chain would be as deep as there are partitions)."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
+
+
+def snapshot_read(spark: SparkSession, path: str, bounds: Bounds | None = None, name: str | None = None) -> DataFrame:
+    """A5: every message in [oldest, HWM) of each partition, bounds taken at call time.
+
+    The bounds are literal predicates, one per distinct range (round-robin topics have two at
+    most), so directories are pruned and offsets pushed to the scan.
+    """
     bounds = capture_bounds(spark, path) if bounds is None else bounds
     t = read_topic(spark, path, name)
-    if not bounds:
+    ranges: dict[tuple[int, int], list[int]] = {}
+    for p, lo, hi in bounds:
+        ranges.setdefault((lo, hi), []).append(p)
+    if not ranges:
         return t.where(F.lit(False))
-    if len(bounds) <= _LITERAL_BOUNDS:
-        cond: Column = F.lit(False)
-        for p, lo, hi in bounds:
-            cond = cond | ((F.col("partition") == p) & (F.col("offset") >= lo) & (F.col("offset") < hi))
-        return t.where(cond)
-    b = literal_frame(spark, bounds, [("partition", "int"), ("_lo", "long"), ("_hi", "long")])
-    return (t.join(F.broadcast(b), "partition")
-             .where((F.col("offset") >= F.col("_lo")) & (F.col("offset") < F.col("_hi")))
-             .drop("_lo", "_hi"))
-
-
-def _hwm_shift(spark: SparkSession, path: str, mode: str) -> Column | DataFrame | None:
-    """Per-partition offset shift for ``append``: each partition continues at its HWM."""
-    if mode != "append" or not _path_exists(spark, path):
-        return None
-    bounds = capture_bounds(spark, path)
-    if not bounds:
-        return None
-    shift: Column = F.lit(0)
-    if len(bounds) <= _LITERAL_BOUNDS:
-        cases = F.when(F.lit(False), F.lit(0))
-        for p, _, hi in bounds:
-            cases = cases.when(F.col("partition") == p, F.lit(hi))
-        return cases.otherwise(shift)
-    table = literal_frame(spark, [(p, hi) for p, _, hi in bounds], [("partition", "int"), ("_hwm", "long")])
-    return table  # joined by the caller
-
-
-def publish_lines(lines: DataFrame, path: str, partitions: int = 3, order: list[str] | None = None,
-                  mode: str = "overwrite",
-                  value: str = "value") -> dict:
-    """A4: line filter -> round robin over ``partitions`` -> directory topic, with metrics.
-
-    Numbering follows ``order`` (columns of ``lines``) or arrival order.  ``append``
-    continues every partition's offsets from its high-water mark (A7); ``overwrite``
-    replaces the topic.
+    return t.where(_any([F.col("partition").isin(ps) & (F.col("offset") >= lo) & (F.col("offset") < hi)
+                         for (lo, hi), ps in sorted(ranges.items())]))
+
+
+def peek(spark: SparkSession, path: str, n: int = 10, name: str | None = None) -> DataFrame:
+    """First ``n`` messages of every partition (bounds from the manifest, pushed to the scan)."""
+    return snapshot_read(spark, path, [(p, lo, min(hi, lo + n)) for p, lo, hi in capture_bounds(spark, path)], name)
+
+
+# -- publish -------------------------------------------------------------------------------
+
+def line_counters(value: str = "value") -> dict[str, Column]:
+    """Lines read, and lines the filter drops by reason."""
+    blank = F.coalesce(trim_ws(value) == "", F.lit(True))
+    return {"read": F.count(F.lit(1)), "dropped_blank": F.count_if(blank),
+            "dropped_few_fields": F.count_if(~blank & ~keep_line(value))}
+
+
+def publish_lines(lines: DataFrame, sink: Sink, partitions: int = 3, order: list[str] | None = None,
+                  mode: str = "overwrite", value: str = "value", unique: bool = False) -> dict:
+    """A4: line filter -> round robin over ``partitions`` -> topic; returns the counters.
+
+    Numbering follows ``order`` (columns of ``lines``; ``unique`` if no two rows agree in them) or
+    arrival order, which takes no sort.  ``append`` continues every partition's offsets at
+    its high-water mark (A7); ``overwrite`` replaces the topic.  ``sink``: a directory, or a
+    function that writes a frame (``kafka_sink``).
     """
     spark = lines.sparkSession
-    kept = filter_lines(lines.select(value, *(order or [])), value)
-    numbered = with_position(kept, [F.col(c).asc() for c in order] if order else None,
-                             name="_pos")
-    part, off = round_robin_columns(F.col("_pos"), partitions)
-    msgs = numbered.select(F.col(value).alias("value"), part, off)
-    shift = _hwm_shift(spark, path, mode)
-    if isinstance(shift, DataFrame):
-        # one row per topic partition: a bounded broadcast
-        msgs = (msgs.join(F.broadcast(shift), "partition", "left")
-                    .withColumn("offset", F.col("offset") + F.coalesce("_hwm", F.lit(0))).drop("_hwm"))
-    elif shift is not None:
-        msgs = msgs.withColumn("offset", F.col("offset") + shift)
-    out, obs = observed(msgs)
     started = time.time()
-    write_topic(out, path, mode)
-    return collect_metrics(obs, started)
-
-
-def publish_sorted(records: DataFrame, key: str, path: str, strict: bool = False,
-                   mode: str = "overwrite", columns: list[str] | None = None) -> dict:
+    before: list[tuple] | None = []
+    if isinstance(sink, str):
+        before = _prepare(spark, sink, mode)
+        if before is None:
+            return throughput({"read": 0, "dropped_blank": 0, "dropped_few_fields": 0, "sent": 0, "bytes": 0}, started)
+    seen, read = lines.select(value, *(order or [])), None
+    if not order:
+        seen, read = observed(seen, line_counters(value))
+    pos = numbered(filter_lines(seen, value), order, unique)
+    msgs = pos.select(F.col(value).alias("value"), *round_robin_columns("_pos", partitions))
+    shift = {p: hi for p, _, hi, _ in before}
+    msgs, sent = observed(msgs.withColumn("offset", F.col("offset") + _of_partition(shift)), sent_counters())
+    if isinstance(sink, str):
+        _write_partitions(msgs, sink)
+    else:
+        sink(msgs)
+    # A range sort samples its input first, which an observation would count twice: with an
+    # order, the lines are counted by an aggregate of their own.
+    lost = read.get if read else seen.agg(*[c.alias(n) for n, c in line_counters(value).items()]).first().asDict()
+    counts = {**lost, **sent.get}
+    if isinstance(sink, str):
+        n, at = counts["sent"], lambda p: shift.get(p, 0)
+        share = [n // partitions + (p < n % partitions) for p in range(partitions)]
+        _add_to_manifest(spark, sink, before, [(p, at(p), at(p) + k, k) for p, k in enumerate(share)])
+    return throughput(counts, started)
+
+
+def publish_sorted(records: DataFrame, key: str, sink: Sink, mode: str = "overwrite",
+                   columns: list[str] | None = None, tiebreak: tuple[str, ...] = SOURCE_POSITION) -> dict:
     """Records in key order into one logical partition, offset = rank.
 
-    Default: range-sorted shards written in parallel with an explicit offset column,
-    straight into the topic's single ``partition=0`` directory (no dynamic partitioning,
-    hence no extra sort before the write).  ``strict``: one writer task
-    (``repartition(1)``) for a literal single-partition log.  ``append`` continues at the
-    topic's high-water mark.
+    Range-sorted shards are written in parallel with an explicit offset column, straight into
+    the topic's ``partition=0`` directory.  ``append`` continues at the high-water mark.
     """
     spark = records.sparkSession
-    ranked = total_order(records, key, columns)
-    cols = [c for c in ranked.columns if c != "offset"]
-    msgs = ranked.select(serialize(cols).alias("value"), F.lit(0).alias("partition"), "offset")
-    shift = _hwm_shift(spark, path, mode)
-    if isinstance(shift, DataFrame):
-        msgs = (msgs.join(F.broadcast(shift), "partition", "left")
-                    .withColumn("offset", F.col("offset") + F.coalesce("_hwm", F.lit(0))).drop("_hwm"))
-    elif shift is not None:
-        msgs = msgs.withColumn("offset", F.col("offset") + shift)
-    if strict:
-        msgs = msgs.repartition(1).sortWithinPartitions("offset")
-    out, obs = observed(msgs)
     started = time.time()
-    (to_topic_columns(out).drop("partition")
-        .write.mode("append" if mode == "append" else "overwrite")
-        .parquet(f"{path.rstrip('/')}/partition=0"))
-    return collect_metrics(obs, started)
-
-
-def peek(spark: SparkSession, path: str, n: int = 10, name: str | None = None) -> DataFrame:
-    """First ``n`` messages of every partition (offset bounds pushed to the scan)."""
-    bounds = capture_bounds(spark, path)
-    return snapshot_read(spark, path, [(p, lo, min(hi, lo + n)) for p, lo, hi in bounds], name)
+    before: list[tuple] | None = []
+    if isinstance(sink, str):
+        before = _prepare(spark, sink, mode)
+        if before is None:
+            return throughput({"sent": 0, "bytes": 0}, started)
+    ranked = total_order(records, key, columns, tiebreak)
+    cols = [c for c in ranked.columns if c != "offset"]
+    start = next((hi for p, _, hi, _ in before if p == 0), 0)
+    msgs, sent = observed(ranked.select(serialize(cols).alias("value"), F.lit(0).alias("partition"),
+                                        (F.col("offset") + start).alias("offset")), sent_counters())
+    if isinstance(sink, str):
+        to_topic_columns(msgs).drop("partition").write.mode("append").parquet(f"{sink.rstrip('/')}/partition=0")
+        _add_to_manifest(spark, sink, before, [(0, start, start + sent.get["sent"], sent.get["sent"])])
+    else:
+        sink(msgs)
+    return throughput(sent.get, started)
 
 
 # -- Kafka (needs the spark-sql-kafka package on the cluster; not installed here) --
 
-def kafka_read(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
-               ending: str = "latest") -> DataFrame:
+def kafka_read(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", ending: str = "latest",
+               options: dict[str, str] | None = None) -> DataFrame:
     """Bounded read of a Kafka topic (A5): earliest..latest captured at start."""
-    return (spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting).option("endingOffsets", ending).load()
-            .select(F.lit(topic).alias("topic"), "partition", "offset",
-                    F.col("value").cast("string").alias("value"), "timestamp"))
-
-
-def kafka_write(df: DataFrame, servers: str, topic: str) -> None:
-    """Publish (partition, offset, value) rows; offset travels as the message key so
-    readers can drop duplicates from at-least-once retries."""
-    (df.select(F.col("offset").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
-               F.col("partition").cast("int").alias("partition"))
-       .write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+    reader = spark.read.format("kafka")
+    for k, v in kafka_read_options(servers, topic, starting, ending, options).items():
+        reader = reader.option(k, v)
+    return (reader.load().select(F.lit(topic).alias("topic"), "partition", "offset",
+                                 F.col("value").cast("string").alias("value"), "timestamp"))
+
+
+def kafka_read_options(servers: str, topic: str, starting: str = "earliest", ending: str = "latest",
+                       options: dict[str, str] | None = None) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "endingOffsets": ending, **(options or {})}
+
+
+def kafka_frame(msgs: DataFrame) -> DataFrame:
+    """Rows as Kafka takes them.  The offset travels as the key, zero-padded: shards write one Kafka
+    partition at the same time, so arrival order is not offset order; a reader sorts by the key and
+    drops what an at-least-once retry doubled."""
+    return msgs.select(F.lpad(F.col("offset").cast("string"), 19, "0").alias("key"),
+                       F.col("value").cast("string").alias("value"), F.col("partition").cast("int").alias("partition"))
+
+
+def kafka_sink(servers: str, topic: str, options: dict[str, str] | None = None) -> Callable[[DataFrame], None]:
+    """A sink for ``publish_lines`` and ``publish_sorted``: writes to a Kafka topic."""
+    def write(msgs: DataFrame) -> None:
+        writer = kafka_frame(msgs).write.format("kafka")
+        for k, v in {"kafka.bootstrap.servers": servers, "topic": topic, **(options or {})}.items():
+            writer = writer.option(k, v)
+        writer.save()
+
+    return write

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sortpub.operators import parse
@@ -28,7 +29,7 @@ def test_generator_deterministic_across_partitions(spark):
 def test_csv_header_and_exact_lines(spark, tmp_out):
     vals = ['1,"q",a b ,Asia', "  2,x,y,z  ", "3,a,b,c,d"]
     line_io.write_lines(lines_df(spark, vals).coalesce(1), tmp_out)
-    files = glob.glob(os.path.join(local(tmp_out), "*.csv"))
+    files = glob.glob(os.path.join(local(tmp_out), "*.txt"))
     assert len(files) == 1
     text = open(files[0]).read()
     assert text == "id,name,address,continent\n" + "\n".join(vals) + "\n"
@@ -39,7 +40,7 @@ def test_csv_header_and_exact_lines(spark, tmp_out):
 def test_header_dropped_per_file(spark, tmp_out):
     vals = [f"{i},n,a,c" for i in range(30)]
     line_io.write_lines(lines_df(spark, vals).repartition(3), tmp_out)
-    assert len(glob.glob(os.path.join(local(tmp_out), "*.csv"))) == 3
+    assert len(glob.glob(os.path.join(local(tmp_out), "*.txt"))) == 3
     back = sorted(r.value for r in line_io.read_lines(spark, tmp_out).collect())
     assert back == sorted(vals)
 
@@ -66,6 +67,46 @@ def test_stream_snapshot_events(spark):
     assert staged.select("event_id").exceptAll(src.select("event_id")).count() == 0
 
 
+def test_first_line_dropped_whatever_it_holds(spark, tmp_out):
+    d = local(tmp_out)
+    os.makedirs(d, exist_ok=True)
+    for name, text in (("a", "\n1,x,y,z\n2,x,y,z\n"), ("b", "id,name,address,continent\n3,x,y,z"), ("c", ""), ("d", "only\n")):
+        with open(os.path.join(d, f"{name}.txt"), "w") as f:
+            f.write(text)
+    assert sorted(r.value for r in line_io.read_lines(spark, tmp_out).collect()) == ["1,x,y,z", "2,x,y,z", "3,x,y,z"]
+
+
+def test_first_line_dropped_from_split_files(spark, tmp_out):
+    d = local(tmp_out)
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write("header\n" + "".join(f"{i},n,a,c\n" for i in range(20000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        df = line_io.read_lines(spark, tmp_out)
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_lines_that_are_hard_to_keep(spark, tmp_out):
+    vals = ["#1,a,b,c", "1,a\u0001b,c,d", '"q",a,b,c', "  2,a,b,c  ", "\t,x"]
+    bad = ["a\nb", "a\rb", "a\x00b", None]
+    df = spark.createDataFrame([(v,) for v in vals + bad], "value string")
+    line_io.write_lines(df, f"{tmp_out}/lines", rejects=f"{tmp_out}/rejects")
+    assert sorted(r.value for r in line_io.read_lines(spark, f"{tmp_out}/lines").collect()) == sorted(vals)
+    assert sorted(str(r.value) for r in spark.read.parquet(f"{tmp_out}/rejects").collect()) == sorted(map(str, bad))
+    with pytest.raises(ValueError):
+        line_io.write_lines(df, f"{tmp_out}/none")
+
+
+def test_generator_depends_on_the_key_only(spark):
+    df = spark.range(0, 500).withColumnRenamed("id", "k")
+    a = sorted(map(tuple, generate.generate_for(df.repartition(1), "k").collect()))
+    assert a == sorted(map(tuple, generate.generate_for(df.repartition(5), "k").collect()))
+
+
 def test_stream_lines_drops_each_header(spark, tmp_out):
     from sortpub.streaming.snapshot import stream_lines
 

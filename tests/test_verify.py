@@ -21,6 +21,8 @@ def test_check_sorted_good_and_faults(spark):
     assert r.out_of_order == 1 and not r.sorted
     gap = spark.createDataFrame([(0, 1), (1, 2), (3, 3)], "offset long, k long")
     assert verify.check_sorted(gap, "k").first().position_gaps
+    late = spark.createDataFrame([(1, 1), (2, 2)], "offset long, k long")
+    assert verify.check_sorted(late, "k").first().position_gaps
     dup = spark.createDataFrame([(0, 1), (1, 2), (1, 3)], "offset long, k long")
     assert not verify.check_sorted(dup, "k").first().sorted
 
