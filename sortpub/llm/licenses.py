@@ -52,6 +52,8 @@ TEMPLATES = {
            "to this work.",
 }
 
+# Bounds are taken a little wider than floating point gives them; the Dice value itself decides.
+_EPS = 1e-6
 _OTHER = re.compile(r"[^a-z0-9]+")
 _DIGITS = re.compile(r"[0-9]+")
 
@@ -79,7 +81,7 @@ class Scanner:
         self.ratio = (2 - threshold) / threshold
         # A unit of u characters has u / 2 words at most; b bigrams need b + 1 words of one
         # character and the spaces between.
-        self.least_chars = 2 * (min(self.sizes, default=0) / self.ratio) + 1
+        self.least_chars = 2 * (min(self.sizes, default=0) / self.ratio - _EPS) + 1
         self.words = {w for _, _, b in rows for pair in b for w in pair}
 
     def scan(self, text: str) -> dict[str, tuple[float, int]]:
@@ -90,11 +92,11 @@ class Scanner:
             words = normalise(unit)
             # Dice >= t needs t / 2 of the larger set in common: every common bigram has its
             # first word among the templates' words.
-            if 2 * sum(w in self.words for w in words) < self.threshold * (len(set(words)) - 1):
+            if 2 * sum(w in self.words for w in words) < self.threshold * (len(set(words)) - 1) - _EPS:
                 continue
             have = bigrams(words)
             n = len(have)
-            for size, name, want in self.rows[bisect_left(self.sizes, n / self.ratio):bisect_right(self.sizes, n * self.ratio)]:
+            for size, name, want in self.rows[bisect_left(self.sizes, n / self.ratio - _EPS):bisect_right(self.sizes, n * self.ratio + _EPS)]:
                 dice = 2 * len(have & want) / (n + size)
                 if dice >= self.threshold:
                     best, k = found.get(name, (0.0, 0))

@@ -16,7 +16,7 @@ present depth.  Ties with the bar stay in.  Blocks of queries meet blocks of row
 a task streams the row blocks of one lane past one block of queries and keeps k rows a query.
 
 Null vectors and vectors with null or non-finite components take no part, nor do rows without
-vec_id; equal rows count once; a row with the query's vec_id is the query's own; a shorter vector
+vec_id; scores must fit 64 bits; equal rows count once; a row with the query's vec_id is the query's own; a shorter vector
 counts as zero in the dimensions it lacks; ties go to the smaller vec_id; empty tables give no
 rows; other columns are not read.
 """
