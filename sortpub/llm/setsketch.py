@@ -192,48 +192,84 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return lined.mapInArrow(task, "u long, v long")
 
 
+def least_equal(threshold: int) -> int:
+    """Registers that a pair at the threshold has equal, less ``SIGMAS`` deviations (any sizes that allow it)."""
+    ratio = np.linspace(threshold / 100, 1, 50)
+    u, v = 1 / (1 + ratio), ratio / (1 + ratio)
+    same = (1 - _p(u - v * threshold / 100) - _p(v - u * threshold / 100)).min()
+    return int(REGISTERS * same - SIGMAS * np.sqrt(REGISTERS * same * (1 - same)))
+
+
+def _group_pairs(m, i: int, j: int, c, comp, n, sk, threshold: int, floor: int, best_only: bool):
+    """Pairs of one bucket (or two of its blocks), across components, that sizes and registers allow."""
+    left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
+    us, vs, likes = [], [], []
+    step = max(1, (1 << 23) // (REGISTERS * max(1, len(right))))
+    for a in range(0, len(left), step):
+        some = left[a:a + step]
+        same = (sk[some][:, None, :] == sk[right][None, :, :]).sum(axis=2)
+        ok = (same >= floor) & (comp[some][:, None] != comp[right][None, :])
+        if i == j:
+            ok &= some[:, None] < right[None, :]
+        x, y = np.nonzero(ok)
+        us.append(some[x]), vs.append(right[y]), likes.append(same[x, y])
+    u, v, like = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (us, vs, likes))
+    if len(u):
+        ok = possible(sk[u], sk[v], n[u], n[v], threshold)
+        u, v, like = u[ok], v[ok], like[ok]
+    if best_only and len(u):
+        keep = np.zeros(len(u), bool)
+        for a, b in ((u, v), (v, u)):
+            order = np.lexsort((c[b], -like, comp[b], a))
+            new = np.ones(len(order), bool)
+            new[1:] = (np.diff(a[order]) != 0) | (np.diff(comp[b][order]) != 0)
+            keep[order[new]] = True
+        u, v = u[keep], v[keep]
+    return np.minimum(c[u], c[v]), np.maximum(c[u], c[v])
+
+
 def _open_pairs(mixed: DataFrame, threshold: int, best_only: bool) -> DataFrame:
     """Pairs inside buckets, across components, that sizes and registers allow.
 
     ``mixed`` (b, size, c, comp, n, sk): buckets cut into blocks of about ``BLOCK`` members, every pair of
-    blocks looked at in one task.  ``best_only``: one partner per member and other component.
+    blocks looked at in one task, one after the other.  ``best_only``: one partner per member
+    and other component.
     """
     blocks = F.expr(f"cast((size + {BLOCK} - 1) div {BLOCK} as int)")
     mine = F.pmod(F.xxhash64("c"), F.col("_k")).cast("int")
+    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (mixed.withColumn("_k", blocks).withColumn("_m", mine)
                  .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-                 .select("b", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "c", "comp", "n", "sk"))
-
-    def task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        c, comp, n, m = (_np(table[x].combine_chunks()) for x in ("c", "comp", "n", "_m"))
-        sk = _sk(table["sk"])
-        i, j = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
-        u, v, like = [], [], []
-        for x in left:
-            others = right[comp[right] != comp[x]]
-            if i == j:
-                others = others[others > x]
-            if not len(others):
+                 .select("b", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "c", "comp", "n", "sk")
+                 .repartition(parts, "b", "i", "j").sortWithinPartitions("b", "i", "j"))
+    floor = least_equal(threshold)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(table: pa.Table) -> pa.RecordBatch:
+            b, i, j, m, c, comp, n = (_np(table.column(x).combine_chunks()) for x in ("b", "i", "j", "_m", "c", "comp", "n"))
+            sk = _sk(table.column("sk"))
+            new = np.concatenate(([True], (b[1:] != b[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+            start = np.flatnonzero(new)
+            pairs = [_group_pairs(m[x:y], i[x], j[x], c[x:y], comp[x:y], n[x:y], sk[x:y], threshold, floor, best_only)
+                     for x, y in zip(start, np.append(start[1:], len(b)))]
+            u, v = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+        held = None                      # rows of a bucket that may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            if not len(table):
                 continue
-            ok = others[possible(np.broadcast_to(sk[x], (len(others), REGISTERS)), sk[others], np.full(len(others), n[x]), n[others], threshold)]
-            u += [x] * len(ok)
-            v += ok.tolist()
-            like += (sk[ok] == sk[x]).sum(axis=1).tolist()
-        u, v, like = np.array(u, np.int64), np.array(v, np.int64), np.array(like, np.int64)
-        if best_only and len(u):
-            keep = np.zeros(len(u), bool)
-            for a, b in ((u, v), (v, u)):
-                order = np.lexsort((c[b], -like, comp[b], a))
-                new = np.ones(len(order), bool)
-                new[1:] = (np.diff(a[order]) != 0) | (np.diff(comp[b][order]) != 0)
-                keep[order[new]] = True
-            u, v = u[keep], v[keep]
-        a, b = c[u] if len(u) else u, c[v] if len(v) else v
-        return pa.table({"u": pa.array(np.minimum(a, b), pa.int64()), "v": pa.array(np.maximum(a, b), pa.int64())})
-
-    return rows.groupBy("b", "i", "j").applyInArrow(task, "u long, v long").distinct()
+            keys = [_np(table.column(x).combine_chunks()) for x in ("b", "i", "j")]
+            tail = int(np.argmax(np.logical_and.reduce([k == k[-1] for k in keys])))
+            if tail:
+                yield flush(table.slice(0, tail))
+            held = table.slice(tail)
+        if held is not None and len(held):
+            yield flush(held)
+
+    return rows.mapInArrow(task, "u long, v long").distinct()
 
 
 # -- the operator ------------------------------------------------------------------------
