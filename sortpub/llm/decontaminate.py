@@ -1,17 +1,19 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and test items are normalised (lower case, runs of ASCII other than letters and digits
-become one space; other scripts' letters stay).  An item of m characters may differ by ``e = m * budget`` edits, so of e + 1 pieces of
-it one at least stands unchanged in any text within that distance.  One Aho-Corasick automaton
-finds all pieces of all items; a hit fixes where the item would begin, hits that agree within e
-are verified once, by Myers' bit-parallel distance of the item to the best substring there.
-
-Items are read into the tasks in shards of at most ``SHARD_CHARS`` characters (measured first),
-one pass over the documents per shard, so what a task holds is bounded however large the
-benchmark is.  Null and empty texts match nothing; items shorter than ``MIN_CHARS`` normalised
-characters are not judged (they occur by chance); repeated rows and items are judged each; equal
-distances keep the leftmost; a null doc_id stays null; empty tables give no rows; only the columns
-doc_id and text, item_id and text are read.
+become one space; letters of other scripts stay).  An item of m characters may differ by
+``e = m * BUDGET`` edits.  It is cut into e // 2 + 1 pairs of pieces: in any text within that
+distance one pair has one error at most, and one of its pieces none.  One Aho-Corasick automaton
+finds all pieces of all items; a piece whose pair stands there with at most one error fixes where
+the item would begin; beginnings within e of each other are verified once, by Myers' bit-parallel
+distance of the item to the best substring there.
+
+Items are read into the tasks in shards of about ``SHARD_CHARS`` characters (measured first), one
+pass over the documents per shard, so what a task holds is bounded however large the benchmark
+is.  Null and empty texts match nothing; items shorter than ``MIN_CHARS`` normalised characters are
+not judged (they occur by chance); repeated rows and items are judged each; a null doc_id or
+item_id stays null; empty tables give no rows; ``leak_pairs`` reads doc_id and text, item_id and
+text, ``drop_leaks`` carries all columns.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BUDGET = 0.08
+BUDGET = 0.10
 MIN_CHARS = 24
 SHARD_CHARS = 4_000_000
 
@@ -88,13 +90,26 @@ def best_distance(peq: dict[str, int], m: int, text: str) -> int:
     return best
 
 
+def one_error(half: str, text: str) -> bool:
+    """Does some prefix of ``text`` differ from ``half`` by one edit at most?"""
+    n = len(half)
+    i = 0
+    for a, b in zip(half, text):
+        if a != b:
+            break
+        i += 1
+    if i >= n - 1:
+        return True
+    rest = half[i + 1:]
+    return rest == text[i + 1:n] or half[i:] == text[i + 1:n + 1] or rest == text[i:n - 1]
+
+
 class Matcher:
     """The items of one shard; ``match`` gives {item number: distance} within the budget."""
 
     def __init__(self, items: list[tuple[int, str]], budget: float):
         self.items = []
         where: dict[str, list] = {}
-        pairs: dict[str, tuple[dict[str, int], int]] = {}
         for item_id, text in items:
             norm = normalise(text)
             if len(norm) < MIN_CHARS:
@@ -103,9 +118,9 @@ class Matcher:
             k = len(self.items)
             self.items.append((item_id, norm, errors, masks(norm)))
             for a, pair, at, piece in pieces(norm, errors):
-                pairs.setdefault(pair, (masks(pair), len(pair)))
-                where.setdefault(piece, []).append((k, at, a, pair))
-        self.pairs = pairs
+                # The pair's other half: before the piece (reversed) or behind it.
+                before, behind = pair[:at - a][::-1], pair[at - a + len(piece):]
+                where.setdefault(piece, []).append((k, at, before, behind))
         self.automaton = ahocorasick.Automaton()
         for piece, places in where.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -117,12 +132,11 @@ class Matcher:
         """Where items would begin, by the pieces whose pair stands there with one error at most."""
         spots: dict[int, list[int]] = {}
         for end, (size, places) in self.automaton.iter(text):
-            for k, at, a, pair in places:
-                begin = end + 1 - size - at
-                peq, m = self.pairs[pair]
-                window = text[max(0, begin + a - 1):begin + a + m + 1]
-                if pair in window or best_distance(peq, m, window) <= 1:
-                    spots.setdefault(k, []).append(begin)
+            begin = end + 1 - size
+            for k, at, before, behind in places:
+                if (one_error(before, text[max(0, begin - len(before) - 1):begin][::-1]) if before
+                        else one_error(behind, text[end + 1:end + 2 + len(behind)])):
+                    spots.setdefault(k, []).append(begin - at)
         return spots
 
     def match(self, text: str) -> dict[int, int]:

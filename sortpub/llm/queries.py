@@ -56,4 +56,10 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_toxicity, op3_suffix_dedup, op4_near_dedup, op5_sharding, op6_topk, op7_line_dedup,
     op8_phrase_dedup, op9_mixing, op10_licenses)}
 
-SQL = {"op6_topk": topk_nra.SQL, "op7_line_dedup": line_dedup.SQL, "op9_mixing": mixing.SQL, "op10_licenses": licenses.SQL}
+# The others have no SQL: edit distance to substrings, learned scores, and label propagation are
+# tested against brute force, held-out labels and the sharding law in tests/llm.
+SQL = {
+    "op3_suffix_dedup": suffix_dedup.SQL, "op4_near_dedup": setsketch.SQL, "op6_topk": topk_nra.SQL,
+    "op7_line_dedup": line_dedup.SQL, "op8_phrase_dedup": phrase_dedup.SQL, "op9_mixing": mixing.SQL,
+    "op10_licenses": licenses.SQL,
+}

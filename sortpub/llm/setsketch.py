@@ -347,3 +347,22 @@ def keep_first(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     left = row.join(gone, row._d.eqNullSafe(gone._d) & (row._x == gone._x), "left_anti")
     once = left.where("_w").dropDuplicates(["_d", "_x"])
     return once.select("row.*").unionByName(left.where("not _w").select("row.*"))
+
+
+SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sh),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {THRESHOLD} * (a.n + b.n - count(*))),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+comp AS (SELECT u, min(v) AS c FROM reach GROUP BY u)
+SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(sh.doc_id, coalesce(c, sh.doc_id)) AS component_id,
+       sh.doc_id <= coalesce(c, sh.doc_id) AS kept
+FROM sh LEFT JOIN comp ON sh.doc_id = comp.u
+"""

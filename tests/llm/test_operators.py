@@ -81,6 +81,24 @@ def test_myers_equals_sellers():
         assert decontaminate.best_distance(decontaminate.masks(p), len(p), t) == sellers(p, t)
 
 
+def test_one_error():
+    rng = np.random.default_rng(2)
+    for _ in range(2000):
+        h = "".join(rng.choice(list("ab"), rng.integers(1, 7)))
+        t = "".join(rng.choice(list("ab"), rng.integers(0, 9)))
+        want = any(sellers_prefix(h, t[:n]) <= 1 for n in range(len(t) + 1))
+        assert decontaminate.one_error(h, t[:len(h) + 1]) == want, (h, t)
+
+
+def sellers_prefix(a, b):
+    row = list(range(len(a) + 1))
+    for c in b:
+        diag, row[0] = row[0], row[0] + 1
+        for i, p in enumerate(a, 1):
+            diag, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, diag + (p != c))
+    return row[-1]
+
+
 def test_leaks_of_empty_tables(spark):
     docs, items = docs_frame(spark, awkward()), items_frame(spark, [(1, prose(1, 30))])
     assert decontaminate.leak_pairs(empty(spark), items).count() == 0
