@@ -53,29 +53,27 @@ def write_records(df: DataFrame, path: str, mode: str = "overwrite", rejects: st
     return write_lines(df.select(serialize().alias("value")), path, mode=mode, rejects=rejects)
 
 
-def _without_first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops the first row of every file: a new (file, block) that begins at byte 0."""
-    last = (None, None)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        value, start, file = batch.column(0), batch.column(1), batch.column(2)
-        before_start = pa.concat_arrays([pa.array([last[1]], pa.int64()), start.slice(0, len(start) - 1)])
-        before_file = pa.concat_arrays([pa.array([last[0]], pa.int64()), file.slice(0, len(file) - 1)])
-        same = pc.fill_null(pc.and_(pc.equal(start, before_start), pc.equal(file, before_file)), False)
-        last = (file[-1].as_py(), start[-1].as_py())
-        keep = pc.or_(same, pc.not_equal(start, 0))
-        yield pa.RecordBatch.from_arrays([value.filter(keep)], names=["value"])
-
-
 def drop_headers(raw: DataFrame) -> DataFrame:
     """Lines of a text scan (batch or stream) without each file's first line.
 
     The scan knows file and block of a row but no line number, and what a row follows inside
-    its task has no built-in: this is the one step that runs as an Arrow batch function.
+    its task has no built-in: this is the one step that runs as an Arrow batch function.  It
+    drops the row that begins a new (file, block) at byte 0.
     """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file_before = start_before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            value, start, file = batch.column(0), batch.column(1), batch.column(2)
+            starts = pa.concat_arrays([pa.array([start_before], pa.int64()), start.slice(0, len(start) - 1)])
+            files = pa.concat_arrays([pa.array([file_before], pa.int64()), file.slice(0, len(file) - 1)])
+            same = pc.fill_null(pc.and_(pc.equal(start, starts), pc.equal(file, files)), False)
+            file_before, start_before = file[-1].as_py(), start[-1].as_py()
+            yield pa.RecordBatch.from_arrays([value.filter(pc.or_(same, pc.not_equal(start, 0)))], names=["value"])
+
     return (raw.select("value", F.col("_metadata.file_block_start").alias("start"), F.xxhash64("_metadata.file_path").alias("file"))
-               .mapInArrow(_without_first_lines, "value string"))
+               .mapInArrow(task, "value string"))
 
 
 def not_blank(df: DataFrame) -> DataFrame:
