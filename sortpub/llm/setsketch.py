@@ -10,11 +10,13 @@ Jaccard similarity reaches the threshold; a component is what links connect.
 2.  Bands of ``BAND`` register values give buckets.  The first class of a bucket is paired with
     every other one: as many pairs as members.
 3.  Pairs whose sizes rule the threshold out, or whose registers' joint likelihood lies far below
-    its maximum at the threshold, are left out; the rest is confirmed on the full sets.
-4.  Buckets that still hold several components are gone through again, in blocks: first the
-    likeliest partner in each other component, then every pair left that the
-    likelihood allows.  Members of one component need no pair, so a group of thousands of near
-    copies costs its size, not its square, and no link between components is lost.
+    its maximum at the threshold, are left out; the rest is compared on the full sets, which also
+    gives how a member's set differs from the first's.
+4.  Members of the same first class that lie in different components are compared by these
+    differences, in blocks inside a task: only links leave it.  A group of thousands of near copies makes
+    no pairs, linked or not.
+5.  Pairs of a bucket that have no first class in common are looked for last: across components,
+    allowed by sizes and registers, confirmed on the full sets.
 
 At J = 0.8, 32 bands of 4 miss a pair with probability 5e-8.
 
@@ -156,11 +158,14 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(task, "u long, v long")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (u, v) whose full sets reach the threshold.
+COMPARED = "u long, v long, linked boolean, nu long, nv long, diff binary"
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (u, v) on their full sets: are they linked, set sizes, and how v differs from u.
 
     Members (v) stream past the set of their u, which stands once in front of every ``SALT`` of
-    them; a task holds one such set.
+    them; a task holds one such set.  ``diff`` holds the shingles that are in one of the two only.
     """
     sizes = pairs.groupBy("u").agg(F.expr(f"(count(1) + {SALT} - 1) div {SALT}").alias("_parts"))
     salted = pairs.join(sizes, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("_parts")).cast("int"))
@@ -177,19 +182,123 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
         for batch in T.chunks(batches):
             sets, first = shingle_sets(batch.column(3))
             us, vs, kinds = (_np(batch.column(i)) for i in range(3))
-            u, v = [], []
+            out: list[list] = [[], [], [], [], [], []]
             for i in range(len(us)):
                 mine = sets[first[i]:first[i + 1]]
                 if kinds[i] == 0:
-                    head = mine
+                    head = mine.copy()
                     continue
-                common = np.isin(mine, head, assume_unique=True, kind="sort").sum()
-                if 100 * common >= threshold * (len(mine) + len(head) - common):
-                    u.append(us[i]), v.append(vs[i])
-            head = None if head is None else head.copy()
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                diff = np.setxor1d(mine, head, assume_unique=True)
+                both = (len(mine) + len(head) - len(diff)) // 2
+                linked = 100 * both >= threshold * (both + len(diff))
+                for col, x in zip(out, (us[i], vs[i], linked, len(head), len(mine), diff.tobytes())):
+                    col.append(x)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()))],
+                names=["u", "v", "linked", "nu", "nv", "diff"])
+
+    return lined.mapInArrow(task, COMPARED)
+
+
+def _star_links(m, i: int, j: int, c, comp, n, diffs: list[bytes], head: int, threshold: int):
+    """Links between members of one first class (or of two of its blocks) that lie in different components.
+
+    x and y both differ little from the first set p.  With the symmetric differences X and Y to p,
+    |x ^ y| = |X| + |Y| - 2 |X & Y|, so the common shingles follow from the differences alone.
+    One link per joined component is enough.
+    """
+    sets = [np.frombuffer(d, np.uint64) for d in diffs]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    values, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count > 1                                      # the others add nothing to any |X & Y|
+    place = np.cumsum(shared) - 1
+    use = shared[column]
+    row, column = row[use], place[column[use]]
+    left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
+    both = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    where = {False: np.full(len(sets), -1), True: np.full(len(sets), -1)}
+    where[False][left], where[True][right] = np.arange(len(left)), np.arange(len(right))
+    for a in range(0, int(shared.sum()), 2048):
+        x, y = np.searchsorted(column, [a, a + 2048])
+        block = np.zeros((len(sets), 2048), np.float32)
+        block[row[x:y], column[x:y] - a] = 1
+        both += block[left] @ block[right].T
+    apart = sizes[left][:, None] + sizes[right][None, :] - 2 * both.astype(np.int64)
+    common = (n[left][:, None] + n[right][None, :] - apart) // 2
+    ok = (100 * common >= threshold * (common + apart)) & (comp[left][:, None] != comp[right][None, :])
+    x, y = np.nonzero(ok)
+    u, v = left[x], right[y]
+    parent: dict[int, int] = {}
+
+    def find(z):
+        while parent.get(z, z) != z:
+            z = parent[z]
+        return z
+
+    out = []
+    for a, b in zip(u.tolist(), v.tolist()):
+        p, q = find(int(comp[a])), find(int(comp[b]))
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((int(c[a]), int(c[b])))
+    return out
+
 
-    return lined.mapInArrow(task, "u long, v long")
+def _blocked(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of groups (``key``, ``size``) in pairs of blocks (i, j) of about ``BLOCK`` members, ``_m`` the own block,
+    sorted so that a pair of blocks stands together."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.withColumn("_k", F.expr(f"cast((size + {BLOCK} - 1) div {BLOCK} as int)"))
+                .withColumn("_m", F.pmod(F.xxhash64("c"), F.col("_k")).cast("int"))
+                .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+                .withColumn("i", F.least("_m", "_o")).withColumn("j", F.greatest("_m", "_o"))
+                .repartition(parts, key, "i", "j").sortWithinPartitions(key, "i", "j"))
+
+
+def _each_group(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...], work) -> Iterator[pa.RecordBatch]:
+    """Calls ``work`` with the table and the group starts of whole groups; keeps an open one for the next batch."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        if not len(table):
+            continue
+        last = np.logical_and.reduce([(k := _np(table.column(x).combine_chunks())) == k[-1] for x in keys])
+        tail = int(np.argmax(last))
+        if tail:
+            yield from _groups(table.slice(0, tail), keys, work)
+        held = table.slice(tail)
+    if held is not None and len(held):
+        yield from _groups(held, keys, work)
+
+
+def _groups(table: pa.Table, keys: tuple[str, ...], work) -> Iterator[pa.RecordBatch]:
+    cols = [_np(table.column(x).combine_chunks()) for x in keys]
+    new = np.logical_or.reduce([k[1:] != k[:-1] for k in cols]) if len(table) > 1 else np.zeros(0, bool)
+    start = np.flatnonzero(np.concatenate(([True], new)))
+    pairs = work(table, list(zip(start.tolist(), np.append(start[1:], len(table)).tolist())))
+    u, v = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+def _links_by_first(star: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
+    """Links between members of the same first class, from their differences to it."""
+    sizes = star.groupBy("u").agg((F.count(F.lit(1))).alias("size"))
+    rows = (star.select("u", F.col("v").alias("c"), F.col("nv").alias("n"), F.col("nu").alias("head"), "diff").join(sizes, "u")
+                .join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c")))
+    several = rows.groupBy("u").agg(F.min("comp").alias("_a"), F.max("comp").alias("_z")).where("_a <> _z").select("u")
+    lined = _blocked(rows.join(several, "u"), "u").select("u", "i", "j", "_m", "c", "comp", "n", "head", "diff")
+
+    def work(table: pa.Table, groups: list) -> list:
+        i, j, m, c, comp_, n, head = (_np(table.column(x).combine_chunks()) for x in ("i", "j", "_m", "c", "comp", "n", "head"))
+        diffs = table.column("diff").to_pylist()
+        return [p for a, b in groups if b - a > 1
+                for p in _star_links(m[a:b], i[a], j[a], c[a:b], comp_[a:b], n[a:b], diffs[a:b], head[a], threshold)]
+
+    return lined.mapInArrow(lambda batches: _each_group(batches, ("u", "i", "j"), work), "u long, v long")
 
 
 def least_equal(threshold: int) -> int:
@@ -200,10 +309,11 @@ def least_equal(threshold: int) -> int:
     return int(REGISTERS * same - SIGMAS * np.sqrt(REGISTERS * same * (1 - same)))
 
 
-def _group_pairs(m, i: int, j: int, c, comp, n, sk, threshold: int, floor: int, best_only: bool):
-    """Pairs of one bucket (or two of its blocks), across components, that sizes and registers allow."""
+def _unseen_pairs(m, i: int, j: int, c, comp, n, sk, firsts: list, threshold: int, floor: int) -> list:
+    """Pairs of one bucket (or two of its blocks), across components, that sizes and registers allow
+    and that have no first class in common."""
     left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
-    us, vs, likes = [], [], []
+    out = []
     step = max(1, (1 << 23) // (REGISTERS * max(1, len(right))))
     for a in range(0, len(left), step):
         some = left[a:a + step]
@@ -212,64 +322,33 @@ def _group_pairs(m, i: int, j: int, c, comp, n, sk, threshold: int, floor: int,
         if i == j:
             ok &= some[:, None] < right[None, :]
         x, y = np.nonzero(ok)
-        us.append(some[x]), vs.append(right[y]), likes.append(same[x, y])
-    u, v, like = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (us, vs, likes))
-    if len(u):
-        ok = possible(sk[u], sk[v], n[u], n[v], threshold)
-        u, v, like = u[ok], v[ok], like[ok]
-    if best_only and len(u):
-        keep = np.zeros(len(u), bool)
-        for a, b in ((u, v), (v, u)):
-            order = np.lexsort((c[b], -like, comp[b], a))
-            new = np.ones(len(order), bool)
-            new[1:] = (np.diff(a[order]) != 0) | (np.diff(comp[b][order]) != 0)
-            keep[order[new]] = True
-        u, v = u[keep], v[keep]
-    return np.minimum(c[u], c[v]), np.maximum(c[u], c[v])
-
-
-def _open_pairs(mixed: DataFrame, threshold: int, best_only: bool) -> DataFrame:
-    """Pairs inside buckets, across components, that sizes and registers allow.
-
-    ``mixed`` (b, size, c, comp, n, sk): buckets cut into blocks of about ``BLOCK`` members, every pair of
-    blocks looked at in one task, one after the other.  ``best_only``: one partner per member
-    and other component.
-    """
-    blocks = F.expr(f"cast((size + {BLOCK} - 1) div {BLOCK} as int)")
-    mine = F.pmod(F.xxhash64("c"), F.col("_k")).cast("int")
-    parts = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (mixed.withColumn("_k", blocks).withColumn("_m", mine)
-                 .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-                 .select("b", F.least("_m", "_o").alias("i"), F.greatest("_m", "_o").alias("j"), "_m", "c", "comp", "n", "sk")
-                 .repartition(parts, "b", "i", "j").sortWithinPartitions("b", "i", "j"))
+        u, v = some[x], right[y]
+        new = np.array([firsts[p].isdisjoint(firsts[q]) for p, q in zip(u, v)], bool)
+        u, v = u[new], v[new]
+        if len(u):
+            ok = possible(sk[u], sk[v], n[u], n[v], threshold)
+            out += zip(np.minimum(c[u], c[v])[ok].tolist(), np.maximum(c[u], c[v])[ok].tolist())
+    return out
+
+
+def _pairs_without_first(labelled: DataFrame, star: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs left inside buckets: across components, allowed by sizes and registers, and not yet
+    compared with, or by way of, a common first class."""
+    several = labelled.groupBy("b").agg(F.min("comp").alias("_a"), F.max("comp").alias("_z")).where("_a <> _z").select("b")
+    firsts = (star.select(F.col("v").alias("c"), "u").unionByName(star.select(F.col("u").alias("c"), "u"))
+                  .groupBy("c").agg(F.collect_set("u").alias("firsts")))      # a member's buckets are its bands: at most 32 and itself
+    mixed = (labelled.join(several, "b").join(classes.select("c", "n", "sk"), "c").join(firsts, "c", "left")
+                     .withColumn("firsts", F.coalesce("firsts", F.array().cast("array<bigint>"))))
+    lined = _blocked(mixed, "b").select("b", "i", "j", "_m", "c", "comp", "n", "sk", "firsts")
     floor = least_equal(threshold)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(table: pa.Table) -> pa.RecordBatch:
-            b, i, j, m, c, comp, n = (_np(table.column(x).combine_chunks()) for x in ("b", "i", "j", "_m", "c", "comp", "n"))
-            sk = _sk(table.column("sk"))
-            new = np.concatenate(([True], (b[1:] != b[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-            start = np.flatnonzero(new)
-            pairs = [_group_pairs(m[x:y], i[x], j[x], c[x:y], comp[x:y], n[x:y], sk[x:y], threshold, floor, best_only)
-                     for x, y in zip(start, np.append(start[1:], len(b)))]
-            u, v = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-        held = None                      # rows of a bucket that may go on in the next batch
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([held, table]) if held is not None else table
-            if not len(table):
-                continue
-            keys = [_np(table.column(x).combine_chunks()) for x in ("b", "i", "j")]
-            tail = int(np.argmax(np.logical_and.reduce([k == k[-1] for k in keys])))
-            if tail:
-                yield flush(table.slice(0, tail))
-            held = table.slice(tail)
-        if held is not None and len(held):
-            yield flush(held)
+    def work(table: pa.Table, groups: list) -> list:
+        i, j, m, c, comp, n = (_np(table.column(x).combine_chunks()) for x in ("i", "j", "_m", "c", "comp", "n"))
+        sk, firsts_ = _sk(table.column("sk")), [set(x) for x in table.column("firsts").to_pylist()]
+        return [p for a, b in groups if b - a > 1
+                for p in _unseen_pairs(m[a:b], i[a], j[a], c[a:b], comp[a:b], n[a:b], sk[a:b], firsts_[a:b], threshold, floor)]
 
-    return rows.mapInArrow(task, "u long, v long").distinct()
+    return lined.mapInArrow(lambda batches: _each_group(batches, ("b", "i", "j"), work), "u long, v long").distinct()
 
 
 # -- the operator ------------------------------------------------------------------------
@@ -293,22 +372,15 @@ def _classed(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     members = stage(bands.join(buckets, "b"), "members")        # only buckets of two and more
     texts = _texts(keyed, classes, members)
 
-    links, tried = None, None
-    for step in ("star", "best", "rest"):
-        if step == "star":
-            pairs = _likely(members.where("c <> u").select("u", F.col("c").alias("v")).distinct(), classes, threshold)
-        else:
-            comp = components(links)
-            labelled = (members.where("size > 2").join(comp, "c", "left")
-                               .withColumn("comp", F.coalesce("comp", "c")).select("b", "size", "c", "comp"))
-            labelled = stage(labelled, "labelled")
-            several = labelled.groupBy("b").agg(F.min("comp").alias("_a"), F.max("comp").alias("_z")).where("_a <> _z").select("b")
-            mixed = labelled.join(several, "b").join(classes.select("c", "n", "sk"), "c")
-            pairs = _open_pairs(mixed, threshold, step == "best").join(tried, ["u", "v"], "left_anti")
-        pairs = stage(pairs, f"pairs_{step}")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stage(_confirm(pairs, texts, threshold), f"links_{step}")
-        links = found if links is None else links.unionByName(found)
+    pairs = stage(_likely(members.where("c <> u").select("u", F.col("c").alias("v")).distinct(), classes, threshold), "star")
+    star = stage(_compare(pairs, texts, threshold), "compared")
+    links = star.where("linked").select("u", "v")
+    near = stage(_links_by_first(star, components(links), threshold), "near")
+    links = links.unionByName(near)
+    labelled = (members.where("size > 2").join(components(links), "c", "left")
+                       .withColumn("comp", F.coalesce("comp", "c")).select("b", "size", "c", "comp"))
+    rest = stage(_pairs_without_first(stage(labelled, "labelled"), star, classes, threshold), "rest")
+    links = stage(links.unionByName(_compare(rest, texts, threshold).where("linked").select("u", "v")), "links")
     comp = classes.select("d1", "d2", "n", "c", "first").join(components(links), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     firsts = comp.groupBy("comp").agg(F.min("first").alias("lead"))
     return rows.drop("sk"), comp.join(firsts, "comp").select("d1", "d2", "n", "lead")
