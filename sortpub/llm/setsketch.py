@@ -309,16 +309,18 @@ def least_equal(threshold: int) -> int:
     return int(REGISTERS * same - SIGMAS * np.sqrt(REGISTERS * same * (1 - same)))
 
 
-def _unseen_pairs(m, i: int, j: int, c, comp, n, sk, firsts: list, threshold: int, floor: int) -> list:
+def _unseen_pairs(m, i: int, j: int, c, comp, n, sk, seen, firsts: list, threshold: int, floor: int) -> list:
     """Pairs of one bucket (or two of its blocks), across components, that sizes and registers allow
-    and that have no first class in common."""
+    and that have no first class in common.  ``seen``: compared with this bucket's first class."""
+    if seen.all():
+        return []
     left, right = np.flatnonzero(m == i), np.flatnonzero(m == j)
     out = []
     step = max(1, (1 << 23) // (REGISTERS * max(1, len(right))))
     for a in range(0, len(left), step):
         some = left[a:a + step]
         same = (sk[some][:, None, :] == sk[right][None, :, :]).sum(axis=2)
-        ok = (same >= floor) & (comp[some][:, None] != comp[right][None, :])
+        ok = (same >= floor) & (comp[some][:, None] != comp[right][None, :]) & ~(seen[some][:, None] & seen[right][None, :])
         if i == j:
             ok &= some[:, None] < right[None, :]
         x, y = np.nonzero(ok)
@@ -338,15 +340,17 @@ def _pairs_without_first(labelled: DataFrame, star: DataFrame, classes: DataFram
     firsts = (star.select(F.col("v").alias("c"), "u").unionByName(star.select(F.col("u").alias("c"), "u"))
                   .groupBy("c").agg(F.collect_set("u").alias("firsts")))      # a member's buckets are its bands: at most 32 and itself
     mixed = (labelled.join(several, "b").join(classes.select("c", "n", "sk"), "c").join(firsts, "c", "left")
-                     .withColumn("firsts", F.coalesce("firsts", F.array().cast("array<bigint>"))))
-    lined = _blocked(mixed, "b").select("b", "i", "j", "_m", "c", "comp", "n", "sk", "firsts")
+                     .withColumn("firsts", F.coalesce("firsts", F.array().cast("array<bigint>")))
+                     .withColumn("seen", F.array_contains("firsts", F.col("u"))))
+    lined = _blocked(mixed, "b").select("b", "i", "j", "_m", "c", "comp", "n", "sk", "seen", "firsts")
     floor = least_equal(threshold)
 
     def work(table: pa.Table, groups: list) -> list:
         i, j, m, c, comp, n = (_np(table.column(x).combine_chunks()) for x in ("i", "j", "_m", "c", "comp", "n"))
-        sk, firsts_ = _sk(table.column("sk")), [set(x) for x in table.column("firsts").to_pylist()]
+        sk, seen = _sk(table.column("sk")), _np(table.column("seen").combine_chunks())
+        firsts_ = [set(x) for x in table.column("firsts").to_pylist()]
         return [p for a, b in groups if b - a > 1
-                for p in _unseen_pairs(m[a:b], i[a], j[a], c[a:b], comp[a:b], n[a:b], sk[a:b], firsts_[a:b], threshold, floor)]
+                for p in _unseen_pairs(m[a:b], i[a], j[a], c[a:b], comp[a:b], n[a:b], sk[a:b], seen[a:b], firsts_[a:b], threshold, floor)]
 
     return lined.mapInArrow(lambda batches: _each_group(batches, ("b", "i", "j"), work), "u long, v long").distinct()
 
@@ -378,7 +382,7 @@ def _classed(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     near = stage(_links_by_first(star, components(links), threshold), "near")
     links = links.unionByName(near)
     labelled = (members.where("size > 2").join(components(links), "c", "left")
-                       .withColumn("comp", F.coalesce("comp", "c")).select("b", "size", "c", "comp"))
+                       .withColumn("comp", F.coalesce("comp", "c")).select("b", "u", "size", "c", "comp"))
     rest = stage(_pairs_without_first(stage(labelled, "labelled"), star, classes, threshold), "rest")
     links = stage(links.unionByName(_compare(rest, texts, threshold).where("linked").select("u", "v")), "links")
     comp = classes.select("d1", "d2", "n", "c", "first").join(components(links), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
