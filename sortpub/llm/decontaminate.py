@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sortpub.llm.text import small_batches
+
 BUDGET = 0.10
 MIN_CHARS = 24
 SHARD_CHARS = 4_000_000
@@ -170,6 +172,7 @@ def _item_shards(items: DataFrame, limit: int) -> list[list[tuple[int, str]]]:
 
 def leak_pairs(docs: DataFrame, items: DataFrame, budget: float = BUDGET, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """doc_id, item_id, distance: a row per document row and item found in it."""
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def passed(shard: list[tuple[int, str]]) -> DataFrame:
@@ -192,6 +195,7 @@ def leak_pairs(docs: DataFrame, items: DataFrame, budget: float = BUDGET, shard_
 
 def drop_leaks(docs: DataFrame, items: DataFrame, budget: float = BUDGET, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """``docs`` (its own columns) without the rows in which an item is found."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def passed(shard: list[tuple[int, str]]):

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sortpub.llm.text import small_batches
+
 THRESHOLD = 0.8
 
 # Licence notices (public texts).
@@ -106,6 +108,7 @@ class Scanner:
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice (best unit), n_units: a row per document and licence found."""
+    small_batches(docs.sparkSession)
     templates = TEMPLATES if templates is None else templates
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

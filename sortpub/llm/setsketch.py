@@ -364,6 +364,7 @@ def _order(doc_id: Column, x: Column) -> Column:
 
 def _classed(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
     """(rows: doc_id, x, n, d1, d2), (classes: d1, d2, n, comp, first: the component's first row)."""
+    T.small_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("x"), "text")
     rows = stage(keyed.mapInArrow(_sketch_task, "doc_id long, x long, n long, d1 long, d2 long, sk binary"), "sketches")
     grouped = rows.where("n > 0").groupBy("d1", "d2", "n").agg(

@@ -23,6 +23,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
 
 
+def small_batches(spark, rows: int = 1_000) -> None:
+    """Lower the session's Arrow batch size to ``rows`` (it is never raised): at Spark's default of
+    10,000, long texts make batches that weigh on an executor's memory outside the heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (splitmix steps)."""
     h = h ^ (h >> _U(30))
@@ -81,7 +90,7 @@ def column_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21,
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20,
            rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Row slices of about ``limit`` bytes of ``column`` and at most ``rows`` rows (one row at
     least), so that the work arrays of a step stay small whatever the batch size."""
