@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sortpub.llm.text import small_batches
 from sortpub.session import stage
 
 SAMPLE_ROWS = 20_000
@@ -143,7 +144,7 @@ class _Symbols(dict):
 
     def __missing__(self, word: str) -> tuple[str, float] | None:
         got = self.grammar.symbol(word)
-        if len(self) < 200_000:
+        if len(self) < 50_000:
             self[word] = got
         return got
 
@@ -163,15 +164,19 @@ def _words_of(text: str) -> set[str]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents outside the held-out fifth."""
+    """(text, toxic) of at most ``rows`` labelled documents outside the held-out fifth.
+
+    The ids and labels of the sample are broadcast (``rows`` bounds them); texts are not shuffled.
+    """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
                    .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
                    .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id").select("text", "toxic")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Lexicon and coefficients from the labelled sample (bounded by ``rows``)."""
+    small_batches(docs.sparkSession)
     sample = _sample(docs, labels, rows)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,6 +255,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (its own columns) without the rows that score 0.5 or more."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
