@@ -111,7 +111,7 @@ def _segments_task(n_prints: int, n_parts: int):
             kinds.extend([1] * len(p)), parts.extend(p), blobs.extend(packed)
             spans.append((hr[gone], hs[gone], hs[gone] + WINDOW))
         merged = R.merge_spans(*(np.concatenate([x[i] for x in spans]).astype(np.int64) for i in range(3)))
-        kinds.append(2), parts.append(0), blobs.append(b"".join(x.tobytes() for x in merged))
+        kinds.append(2), parts.append(R.task_id() % n_parts), blobs.append(b"".join(x.tobytes() for x in merged))
         yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())],
                                          names=["kind", "part", "blob"])
 
@@ -224,19 +224,15 @@ def _span_table(r, s, e) -> pa.Table:
     return pa.table({"r": pa.array(r, pa.int64()), "s": pa.array(s, pa.int64()), "e": pa.array(e, pa.int64())})
 
 
-def _scan_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    return _span_table(*scan_shard(table.column("blob").to_pylist()))
-
-
-def _windows_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    r, s = R.later_windows(table.column("blob").to_pylist(), within=False)
-    return _span_table(*R.merge_spans(r, s, s + WINDOW))
-
-
-def _unpack_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            yield from _span_table(*np.frombuffer(blob, np.int64).reshape(3, -1)).to_batches()
+def _part_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """One part of what the tasks sent: segments to scan, windows to compare, or spans as they are."""
+    kind, blobs = key[0].as_py(), table.column("blob").to_pylist()
+    if kind == 0:
+        return _span_table(*scan_shard(blobs))
+    if kind == 1:
+        r, s = R.later_windows(blobs, within=False)
+        return _span_table(*R.merge_spans(r, s, s + WINDOW))
+    return _span_table(*np.concatenate([np.frombuffer(b, np.int64).reshape(3, -1) for b in blobs], axis=1))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,12 +264,9 @@ def drop_phrases(docs: DataFrame, hot: int = HOT) -> DataFrame:
     n_prints, n_parts = max(8, places // R.PART_PRINTS), max(8, places // SHARD_SEGMENTS)
     marks = with_position(R.recurring(firsts, _prints, n_prints, hot, per_document=True), R.DOC, "r")
     held = stage(firsts.join(marks, R.DOC).dropDuplicates(R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
-    sent = stage(held.select("r", F.col("d1").alias("q"), "text", "keys")
-                     .mapInArrow(_segments_task(n_prints, n_parts), "kind int, part int, blob binary"), "segments")
-    shape = "r long, s long, e long"
-    spans = (sent.where("kind = 2").select("blob").mapInArrow(_unpack_spans, shape)
-                 .unionByName(sent.where("kind = 0").select("part", "blob").groupBy("part").applyInArrow(_scan_task, shape))
-                 .unionByName(sent.where("kind = 1").select("part", "blob").groupBy("part").applyInArrow(_windows_task, shape)))
+    sent = (held.select("r", F.col("d1").alias("q"), "text", "keys")
+                .mapInArrow(_segments_task(n_prints, n_parts), "kind int, part int, blob binary"))
+    spans = sent.groupBy("kind", "part").applyInArrow(_part_task, "r long, s long, e long")
     by_text = spans.groupBy("r").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     cut = (held.join(by_text, "r").select(*R.DOC, "text", "spans")
                .mapInArrow(_cut, "d1 long, d2 long, kept string, n_removed long"))
@@ -287,3 +280,20 @@ def phrase_digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The contract's columns."""
     sha = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2(F.col("kept"), 256))
     return drop_phrases(docs, hot).select("doc_id", "n_words", "n_removed", sha.alias("kept_sha256"))
+
+
+SQL = f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, md5(array_to_string(w[s + 1:s + {WINDOW}], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {WINDOW - 1}, 0))) AS s FROM w)),
+first AS (SELECT h, min(doc_id) AS d FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT win.doc_id, s + k AS n FROM win JOIN first ON win.h = first.h AND first.d < win.doc_id, range({WINDOW}) r(k)),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS n FROM w),
+sums AS (
+  SELECT e.doc_id, count(*) AS n_words, count(g.n) AS n_removed,
+         sha256(coalesce(string_agg(word, ' ' ORDER BY e.n) FILTER (WHERE g.n IS NULL), '')) AS kept_sha256
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.n = g.n GROUP BY e.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents d LEFT JOIN sums s USING (doc_id)
+"""

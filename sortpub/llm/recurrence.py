@@ -29,6 +29,7 @@ GROUP_ROWS = 50_000
 PART_PRINTS = 400_000
 # A copy list up to this many rows is broadcast, a longer one is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+SALTS = 32
 HOT_BIT = np.uint64(1 << 63)
 DOC = ["d1", "d2"]
 
@@ -49,12 +50,16 @@ def first_texts(rows: DataFrame, facts: list[Column]) -> tuple[DataFrame, DataFr
 
     ``copy``: the same text stands in a document before.
     """
+    T.small_batches(rows.sparkSession)
     size = F.octet_length("text").cast("long").alias("n_bytes")
     narrow = stage(rows.select("doc_id", *DOC, "x1", "x2", size, *facts), "narrow")
     firsts = (narrow.groupBy("x1", "x2").agg(F.min(F.struct(*DOC)).alias("_first"), F.count(F.lit(1)).alias("_n"))
                     .where("_n > 1").drop("_n"))
-    narrow = stage(narrow.join(firsts, ["x1", "x2"], "left")
-                         .withColumn("copy", F.coalesce(F.struct(*DOC) > F.col("_first"), F.lit(False))).drop("_first"), "flagged")
+    # A text that a large part of the rows share meets its first document in SALTS places.
+    salted = narrow.withColumn("_salt", F.pmod(F.xxhash64(*DOC), F.lit(SALTS)).cast("int"))
+    spread = firsts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    narrow = stage(salted.join(spread, ["x1", "x2", "_salt"], "left")
+                         .withColumn("copy", F.coalesce(F.struct(*DOC) > F.col("_first"), F.lit(False))).drop("_first", "_salt"), "flagged")
     copies = stage(narrow.where("copy").select(*DOC).distinct(), "copies")
     small = copies.count() <= BROADCAST_ROWS
     body = rows.select(*DOC, "text")
@@ -103,7 +108,7 @@ def _send(prints: Prints, n: int, per_document: bool) -> Callable:
         blobs = [[low[c].tobytes() for c in cut], [where[c].tobytes() for c in cut], [count[c].tobytes() for c in cut], [b""] * len(cut)]
         mine = (d1.tobytes(), d2.tobytes(), row[again].tobytes(), key[again].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*at, -1], pa.int32()), pa.array([group] * (len(at) + 1), pa.int64()),
+            [pa.array([*at, -1 - group], pa.int64()), pa.array([group] * (len(at) + 1), pa.int64()),
              *(pa.array([*b, m], pa.binary()) for b, m in zip(blobs, mine))], names=["part", "g", "a", "b", "c", "d"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +131,11 @@ def _column(table: pa.Table, name: str, dtype) -> list[np.ndarray]:
 
 
 def _answer(hot: int) -> Callable:
-    """One part: which fingerprints occur twice or more, told back to their groups."""
+    """One part: which fingerprints occur twice or more, told back to their groups (kind 1).  What a
+    group holds itself (part below 0) is passed on (kind 0)."""
     def task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        if key[0].as_py() < 0:
+            return table.select(["g", "a", "b", "c", "d"]).add_column(1, "kind", pa.array([0] * len(table), pa.int32()))
         part = np.uint64(key[0].as_py()) << np.uint64(32)
         low, row, count = _column(table, "a", np.uint32), _column(table, "b", np.uint32), _column(table, "c", np.uint32)
         groups = np.repeat(table.column("g").to_numpy(), [len(x) for x in low])
@@ -180,12 +188,9 @@ def recurring(texts: DataFrame, prints: Prints, n_parts: int, hot: int, per_docu
 
     ``per_document``: a document counts once.
     """
-    shape = "part int, g long, a binary, b binary, c binary, d binary"
-    sent = stage(texts.select(*DOC, "text").mapInArrow(_send(prints, n_parts, per_document), shape), "prints")
-    told = (sent.where("part >= 0").select("part", "g", "a", "b", "c").groupBy("part")
-                .applyInArrow(_answer(hot), "g long, kind int, a binary, b binary, c binary, d binary"))
-    own = sent.where("part < 0").select("g", F.lit(0).alias("kind"), "a", "b", "c", "d")
-    found = own.unionByName(told).groupBy("g").applyInArrow(_assemble, "d1 long, d2 long, keys binary")
+    sent = texts.select(*DOC, "text").mapInArrow(_send(prints, n_parts, per_document), "part long, g long, a binary, b binary, c binary, d binary")
+    told = sent.groupBy("part").applyInArrow(_answer(hot), "g long, kind int, a binary, b binary, c binary, d binary")
+    found = told.groupBy("g").applyInArrow(_assemble, "d1 long, d2 long, keys binary")
     return found.groupBy(*DOC).agg(F.collect_list("keys").alias("keys"))
 
 

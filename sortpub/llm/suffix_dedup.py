@@ -285,7 +285,7 @@ def _runs_task(n_prints: int, n_parts: int, n_windows: int):
             out[0].extend([1] * len(p)), out[1].extend(p), out[2].extend(blobs)
             spans.append((hr[later], hs[later], hs[later] + LENGTH))
         merged = R.merge_spans(*(np.concatenate([x[i] for x in spans]).astype(np.int64) for i in range(3)))
-        out[0].append(2), out[1].append(0), out[2].append(b"".join(x.tobytes() for x in merged))
+        out[0].append(2), out[1].append(R.task_id() % n_parts), out[2].append(b"".join(x.tobytes() for x in merged))
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())],
                                          names=["kind", "part", "blob"])
 
@@ -325,19 +325,15 @@ def _span_table(r: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Table:
     return pa.table({"r": pa.array(r, pa.int64()), "s": pa.array(s, pa.int64()), "e": pa.array(e, pa.int64())})
 
 
-def _merge_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    return _span_table(*merge_part(table.column("blob").to_pylist()))
-
-
-def _windows_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    r, s = R.later_windows(table.column("blob").to_pylist(), within=True)
-    return _span_table(*R.merge_spans(r, s, s + LENGTH))
-
-
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            yield from _span_table(*np.frombuffer(blob, np.int64).reshape(3, -1)).to_batches()
+def _part_task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """One part of what the tasks sent: runs to merge, windows to compare, or spans as they are."""
+    kind, blobs = key[0].as_py(), table.column("blob").to_pylist()
+    if kind == 0:
+        return _span_table(*merge_part(blobs))
+    if kind == 1:
+        r, s = R.later_windows(blobs, within=True)
+        return _span_table(*R.merge_spans(r, s, s + LENGTH))
+    return _span_table(*np.concatenate([np.frombuffer(b, np.int64).reshape(3, -1) for b in blobs], axis=1))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,11 +361,8 @@ def repeated_spans(texts: DataFrame, total_bytes: int, hot: int = HOT) -> tuple[
     n_parts = max(8, places // PART_SUFFIXES)
     marks = with_position(R.recurring(texts, _prints, n_prints, hot), R.DOC, "r")
     held = stage(texts.join(marks, R.DOC).dropDuplicates(R.DOC).select("r", *R.DOC, "text", "keys"), "candidates")
-    sent = stage(held.select("r", "text", "keys").mapInArrow(_runs_task(n_prints, n_parts, n_parts), "kind int, part int, blob binary"), "runs")
-    shape = "r long, s long, e long"
-    spans = (sent.where("kind = 2").select("blob").mapInArrow(_unpack, shape)
-                 .unionByName(sent.where("kind = 0").select("part", "blob").groupBy("part").applyInArrow(_merge_task, shape))
-                 .unionByName(sent.where("kind = 1").select("part", "blob").groupBy("part").applyInArrow(_windows_task, shape)))
+    sent = held.select("r", "text", "keys").mapInArrow(_runs_task(n_prints, n_parts, n_parts), "kind int, part int, blob binary")
+    spans = sent.groupBy("kind", "part").applyInArrow(_part_task, "r long, s long, e long")
     return held.drop("keys"), spans
 
 
@@ -394,3 +387,26 @@ def suffix_digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """The contract's columns."""
     sha = F.when(F.col("kept").isNull(), F.col("sha")).otherwise(F.sha2(F.col("kept"), 256))
     return drop_repeats(docs, hot).select("doc_id", "n_bytes", "n_removed", "n_spans", sha.alias("kept_sha256"))
+
+
+SQL = f"""
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, {2 * LENGTH})) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(n - {LENGTH - 1}, 0))) AS s FROM b)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS k FROM win) WHERE k > 1),
+runs AS (
+  SELECT doc_id, s, s - coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s), s - {LENGTH + 1}) > {LENGTH} AS new FROM later),
+spans AS (
+  SELECT doc_id, min(s) AS s, max(s) + {LENGTH} AS e
+  FROM (SELECT doc_id, s, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM runs) GROUP BY doc_id, g),
+cuts AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM spans),
+sums AS (
+  SELECT c.doc_id, sum(e - c.s) AS gone, count(*) AS n, max(e) AS last,
+         string_agg(substr(x, 2 * before + 1, 2 * (c.s - before)), '' ORDER BY c.s) AS head
+  FROM cuts c JOIN b USING (doc_id) GROUP BY c.doc_id)
+SELECT b.doc_id, b.n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(s.n, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM b LEFT JOIN sums s USING (doc_id)
+"""
