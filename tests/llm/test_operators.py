@@ -188,6 +188,35 @@ def test_shards_law(spark, rows):
         assert cut <= -(-largest // (len(rows) // 5)) + 1
 
 
+def test_shards_without_free_seats(spark):
+    rows = [(i, prose(i // 2, 12)) for i in range(480)]        # every text twice: no seat is ever free
+    out = sharding.balanced_shards(docs_frame(spark, rows), 6).collect()
+    assert check_shards(rows, out, 6) <= 5
+    rows = [(i, prose(i // 2, 12)) for i in range(400)] + [(400 + i, prose(900 + i // 3, 12)) for i in range(150)] + [(600, "alone")]
+    out = sharding.balanced_shards(docs_frame(spark, rows), 6).collect()
+    assert check_shards(rows, out, 6) <= 15                    # of 249 groups, one per pair of shards
+
+
+def test_flow_grants_circles_and_chains():
+    grant = sharding._flow
+    assert grant({(0, 1): 5, (1, 0): 3}, {}, [0, 0]) == ({(0, 1): 3, (1, 0): 3}, {})
+    assert grant({(0, 1): 2, (1, 2): 4, (2, 0): 3}, {}, [0, 0, 0])[0] == {(0, 1): 2, (1, 2): 2, (2, 0): 2}
+    assert grant({(0, 1): 2, (1, 2): 4}, {}, [0, 0, 3])[0] == {(0, 1): 2, (1, 2): 3}
+    assert grant({}, {(0, 1): 7}, [0, 0]) == ({}, {(0, 1): 3, (1, 0): 3})
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(2, 7))
+        wish = {(a, b): int(rng.integers(0, 9)) for a in range(n) for b in range(n) if a != b}
+        tied = {(a, b): int(rng.integers(0, 9)) for a in range(n) for b in range(a + 1, n)}
+        free = [int(x) for x in rng.integers(0, 3, n)]
+        one, two = grant(wish, tied, free)
+        assert all(0 <= k <= wish[p] for p, k in one.items())
+        assert all(two.get((a, b), 0) + two.get((b, a), 0) <= k for (a, b), k in tied.items())
+        both = Counter(one) + Counter(two)
+        for s in range(n):
+            assert sum(k for (_, b), k in both.items() if b == s) - sum(k for (a, _), k in both.items() if a == s) <= free[s]
+
+
 def test_shards_of_nothing(spark):
     assert sharding.balanced_shards(empty(spark)).count() == 0
 
