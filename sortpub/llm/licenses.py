@@ -6,6 +6,13 @@ into sets of word bigrams.  Dice(A, B) = 2 |A and B| / (|A| + |B|) can reach the
 the sizes differ by a factor of at most (2 - t) / t, so only templates inside that bound are
 compared, and a unit outside every bound is skipped before its bigrams are made.
 
+A licence that no unit shows is looked for in windows of the whole text's normalised words (of as
+many words as the size bound allows, wherever lines, comment marks and CRLF fall): a notice inside
+a longer line, or wrapped over lines in a longer block.  Windows inside a unit that shows a licence
+are left out (the unit was judged whole); overlapping ones that reach the threshold count as one
+unit, with the best Dice.  ``HEADERS`` are compared in windows only.  SQL
+tells the units, not the windows.
+
 Null and empty texts have no units; ties keep every template that reaches the threshold; rows
 that are repeated are scanned each; a null doc_id stays null; an empty table gives no rows;
 only doc_id and text are read.
@@ -13,6 +20,7 @@ only doc_id and text are read.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
@@ -54,6 +62,18 @@ TEMPLATES = {
            "to this work.",
 }
 
+# The standard file headers as a whole (public texts).
+HEADERS = {
+    "apache-2.0-notice": TEMPLATES["apache-2.0-header"] + " Unless required by applicable law or agreed to in writing, "
+                         'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES '
+                         "OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+                         "governing permissions and limitations under the License.",
+    "gpl-notice": TEMPLATES["gpl-header"] + " This program is distributed in the hope that it will be useful, but WITHOUT "
+                  "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+                  "See the GNU General Public License for more details. You should have received a copy of the GNU General "
+                  "Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+}
+
 # Bounds are taken a little wider than floating point gives them; the Dice value itself decides.
 _EPS = 1e-6
 _OTHER = re.compile(r"[^a-z0-9]+")
@@ -73,10 +93,25 @@ def units(text: str) -> list[str]:
     return text.split("\n") + [b for b in text.split("\n\n") if "\n" in b]
 
 
+def _word_spans(text: str, chosen: list[int]) -> list[tuple[int, int]]:
+    """First word and end of the chosen ``units``, among the words of ``text``."""
+    if not chosen:
+        return []
+    spans: list[tuple[int, int]] = []
+    for sep in ("\n", "\n\n"):
+        at = 0
+        for part in text.split(sep):
+            n = len(normalise(part))
+            if sep == "\n" or "\n" in part:
+                spans.append((at, at + n))
+            at += n
+    return [spans[i] for i in sorted(set(chosen))]
+
+
 class Scanner:
     """Templates by size; ``scan`` returns {name: (dice, units that reach the threshold)}."""
 
-    def __init__(self, templates: dict[str, str], threshold: float):
+    def __init__(self, templates: dict[str, str], threshold: float, headers: dict[str, str] | None = None):
         self.threshold = threshold
         rows = sorted((len(b), name, b) for name, t in templates.items() if (b := bigrams(normalise(t))))
         self.sizes, self.rows = [r[0] for r in rows], rows
@@ -85,10 +120,14 @@ class Scanner:
         # character and the spaces between.
         self.least_chars = 2 * (min(self.sizes, default=0) / self.ratio - _EPS) + 1
         self.words = {w for _, _, b in rows for pair in b for w in pair}
+        more = [(len(b), name, b) for name, t in (headers or {}).items() if (b := bigrams(normalise(t)))]
+        self.sought = rows + more
+        self.pairs = frozenset(pair for _, _, b in self.sought for pair in b)
 
     def scan(self, text: str) -> dict[str, tuple[float, int]]:
         found: dict[str, tuple[float, int]] = {}
-        for unit in units(text):
+        shown: list[int] = []
+        for at, unit in enumerate(units(text)):
             if len(unit) < self.least_chars:
                 continue
             words = normalise(unit)
@@ -103,16 +142,60 @@ class Scanner:
                 if dice >= self.threshold:
                     best, k = found.get(name, (0.0, 0))
                     found[name] = (max(best, dice), k + 1)
+                    shown.append(at)
+        self._scan_windows(text, found, shown)
         return found
 
+    def _scan_windows(self, text: str, found: dict[str, tuple[float, int]], shown: list[int]) -> None:
+        """Add the licences that only windows of ``text`` show; ``shown``: the units that show one."""
+        words = normalise(text)
+        present = self.pairs.intersection(zip(words, words[1:]))
+        if not present:
+            return
+        places = None
+        for size, name, want in self.sought:
+            # A window of n bigrams with k in common has n >= k and 2 k >= t (n + size), so
+            # n >= size / ratio and k >= size / ratio; it begins and ends with a common one at best.
+            need = size / self.ratio - _EPS
+            if name in found or len(want & present) < need:
+                continue
+            if places is None:
+                places = [(i, g) for i, g in enumerate(zip(words, words[1:])) if g in present]
+                spans = _word_spans(text, shown)
+                inside = [0] * len(words)            # where the widest such unit around a word ends
+                for a, b in spans:
+                    inside[a:b] = [max(b, e) for e in inside[a:b]]
+            at = [(i, g) for i, g in places if g in want]
+            longest = int(size * self.ratio + _EPS)
+            best, k, end = 0.0, 0, -1
+            for x, (begin, _) in enumerate(at):
+                y = x + max(1, math.ceil(need)) - 1
+                if y >= len(at) or at[y][0] - begin >= longest:
+                    continue
+                common: set[tuple[str, str]] = set()
+                have: set[tuple[str, str]] = set()
+                done = begin
+                for i, g in at[x:]:
+                    if i - begin >= longest:
+                        break
+                    common.add(g)
+                    have.update(zip(words[done:i + 1], words[done + 1:i + 2]))
+                    done = i + 1
+                    dice = 2 * len(common) / (len(have) + size)
+                    if dice >= self.threshold and i + 2 > inside[begin]:
+                        k += begin > end             # a window apart from those before
+                        best, end = max(best, dice), max(end, i)
+            if k:
+                found[name] = (best, k)
+
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice (best unit), n_units: a row per document and licence found."""
     small_batches(docs.sparkSession)
-    templates = TEMPLATES if templates is None else templates
+    templates, headers = (TEMPLATES, HEADERS) if templates is None else (templates, {})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, threshold)
+        scanner = Scanner(templates, threshold, headers)
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

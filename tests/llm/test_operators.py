@@ -331,6 +331,31 @@ def test_licenses(spark):
     assert licenses.license_scan(empty(spark)).count() == 0
 
 
+def test_licenses_in_windows(spark):
+    apache, gpl = (licenses.HEADERS[n] for n in ("apache-2.0-notice", "gpl-notice"))
+    wrap = lambda t, n, mark, end: end.join(mark + " ".join(t.split(" ")[i:i + n]) for i in range(0, len(t.split(" ")), n))
+    rows = [(1, prose(1, 5) + " Released under the MIT License. " + prose(2, 5)), (2, wrap(prose(3, 40) + " " + licenses.TEMPLATES["mit-grant"], 9, " * ", "\n")),
+            (3, prose(4, 20) + "\r\n\r\n" + wrap(licenses.TEMPLATES["bsd"], 6, "# ", "\r\n") + "\r\n\r\n" + prose(5, 30)),
+            (4, wrap("Copyright 2020 " + prose(6, 3) + " " + apache, 10, "# ", "\n#\n") + "\nimport os"), (5, wrap(gpl, 10, "// ", "\r\n")),
+            (6, prose(7, 400)), (7, "released the license under mit " * 30), (8, "so this work is licensed under the " + prose(8, 10) + " general public license version 3")]
+    out = licenses.license_scan(docs_frame(spark, rows)).collect()
+    got = defaultdict(dict)
+    for r in out:
+        got[r.doc_id][r.license] = (r.dice, r.n_units)
+    assert got[1]["mit"] == (1.0, 1) and got[2]["mit-grant"] == (1.0, 1) and got[3]["bsd"] == (1.0, 1)
+    assert got[4]["apache-2.0-notice"] == (1.0, 1) and got[5]["gpl-notice"] == (1.0, 1)
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.THRESHOLD, licenses.HEADERS)
+    for d, text in rows:                             # every window by brute force
+        w = licenses.normalise(text)
+        g = list(zip(w, w[1:]))
+        for size, name, want in scanner.sought:
+            if all(dice(u, t) < licenses.THRESHOLD for u in licenses.units(text) for t in licenses.TEMPLATES.values()):
+                longest = int(size * scanner.ratio + 1e-6)
+                best = max((2 * len(want & set(g[i:j])) / (len(set(g[i:j])) + size) for i in range(len(g)) if g[i] in want
+                            for j in range(i + 1, min(len(g), i + longest) + 1)), default=0)
+                assert got[d].get(name, (0,))[0] == (best if best >= licenses.THRESHOLD else 0), (d, name)
+
+
 # -- helpers -----------------------------------------------------------------------------
 
 def test_running_total(spark):
