@@ -12,17 +12,14 @@ from tests.llm.helpers import awkward, docs_frame, empty, prose, words
 
 
 def brute(x):
-    """{(start, end): smallest period} of all runs of a list."""
-    got = {}
+    """{(start, end): smallest period} of all runs of a list: every lag, word against word."""
+    x, got = np.unique(np.array(x, dtype=object), return_inverse=True)[1] if len(x) else np.zeros(0, np.int64), {}
     for d in range(1, len(x) // P.REPEATS + 1):
-        i = 0
-        while i + d < len(x):
-            j = i
-            while j + d < len(x) and x[j] == x[j + d]:
-                j += 1
-            if j - i + d >= max(P.MIN_WORDS, P.REPEATS * d):
-                got.setdefault((i, j + d), d)
-            i = max(j, i + 1)
+        differ = np.flatnonzero(np.concatenate(([True], x[d:] != x[:-d], [True]))) - 1
+        long = np.flatnonzero(np.diff(differ) - 1 + d >= max(P.MIN_WORDS, P.REPEATS * d))
+        for a, b in zip(differ[long], differ[long + 1]):
+            if b - a > 1:
+                got.setdefault((int(a) + 1, int(b) + d), d)
     return got
 
 
