@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sortpub.llm import text as T
+from sortpub.llm.sql import crc32
 
 MIN_WORDS = 24          # least length of a run
 REPEATS = 3             # least length in periods
@@ -315,15 +316,9 @@ def run_digest(docs: DataFrame) -> DataFrame:
     return _rows(docs).mapInArrow(_digest_task, DIGEST)
 
 
-def _crc32(text: str) -> str:
-    """CRC-32 of an ASCII expression in SQL."""
-    return (f"xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length({text}) + 1), lambda i: ord(substr({text}, i, 1))::BIGINT), "
-            "lambda c, b: list_reduce([xor(c, b)] || range(1, 9), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)), 4294967295::BIGINT)")
-
-
 SQL = f"""
 WITH docs AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w0, {_crc32('CAST(doc_id AS VARCHAR)')} AS h FROM documents),
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w0, {crc32('CAST(doc_id AS VARCHAR)')} AS h FROM documents),
 cut AS (
   SELECT doc_id, w0, h, len(w0) AS n, CASE WHEN len(w0) > 0 THEN (h // 10) % len(w0) END AS a FROM docs),
 block AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM cut),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sortpub.llm import (decontaminate, licenses, line_dedup, mixing, periodic_runs, phrase_dedup, setsketch, sharding, suffix_dedup,
-                         topk_nra, toxicity)
+from sortpub.llm import (decontaminate, licenses, line_dedup, mixing, periodic_runs, phrase_dedup, pu_quality, setsketch,
+                         sharding, spelling, suffix_dedup, topk_nra, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,18 +52,27 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_toxicity, op3_suffix_dedup, op4_near_dedup, op5_sharding, op6_topk, op7_line_dedup,
-    op8_phrase_dedup, op9_mixing, op10_licenses, op12_periodic_runs)}
+    op8_phrase_dedup, op9_mixing, op10_licenses, op11_spelling, op12_periodic_runs,
+    op13_quality)}
 
 # The others have no SQL: edit distance to substrings, learned scores, and label propagation are
 # tested against brute force, held-out labels and the sharding law in tests/llm.
 SQL = {
     "op3_suffix_dedup": suffix_dedup.SQL, "op4_near_dedup": setsketch.SQL, "op6_topk": topk_nra.SQL,
     "op7_line_dedup": line_dedup.SQL, "op8_phrase_dedup": phrase_dedup.SQL, "op9_mixing": mixing.SQL,
-    "op10_licenses": licenses.SQL, "op12_periodic_runs": periodic_runs.SQL,
+    "op10_licenses": licenses.SQL, "op11_spelling": spelling.SQL, "op12_periodic_runs": periodic_runs.SQL,
 }
