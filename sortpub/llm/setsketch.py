@@ -18,7 +18,8 @@ Jaccard similarity reaches the threshold; a component is what links connect.
 5.  Pairs of a bucket that have no first class in common are looked for last: across components,
     allowed by sizes and registers, confirmed on the full sets.
 
-At J = 0.8, 32 bands of 4 miss a pair with probability 5e-8.
+At J = 0.85, 42 bands of 6 miss a pair with probability 7e-10, at 0.8 with 1e-6; two unrelated sets of
+equal size share a band's bucket with probability 2e-10, so buckets hold relatives, not strangers, at any number of documents.
 
 Null text has an empty set.  A null doc_id takes part and is the smallest id of none (component
 null only if all its ids are null).  Rows repeated, or with the same doc_id, are rows of their
@@ -41,11 +42,12 @@ from sortpub.session import stage
 
 WORDS = 5
 THRESHOLD = 85          # per cent
-REGISTERS, BAND = 128, 4
+REGISTERS, BAND = 252, 6
 BASE = 1.1
 SHIFT = 30              # register of a hash of 1
 SIGMAS = 5.0            # log-likelihood drop of SIGMAS ** 2 / 2 rules a pair out
 SALT = 256              # members confirmed beside one copy of their bucket's first
+PLACES = 32             # in which a bucket meets its first class
 BLOCK = 1024            # members of a bucket looked at together
 _ROW_BITS = 12
 
@@ -143,19 +145,43 @@ def _np(col: pa.Array) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False)
 
 
+def _lined(pairs: DataFrame, facts: DataFrame, *names: str) -> DataFrame:
+    """(u, v, kind, names): every pair's v with its facts (c, names), behind the facts of its u (kind 0).
+
+    A u stands once in front of every ``SALT`` of its members, so its facts aren't joined to each pair, and a u with very many
+    members is several tasks' work.
+    """
+    sizes = pairs.groupBy("u").agg(F.expr(f"(count(1) + {SALT} - 1) div {SALT}").alias("_parts"))
+    salted = pairs.join(sizes, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("_parts")).cast("int"))
+    members = salted.join(facts.withColumnRenamed("c", "v"), "v").select("u", "salt", F.lit(1).alias("kind"), "v", *names)
+    heads = (sizes.select("u", F.explode(F.sequence(F.lit(0), (F.col("_parts") - 1).cast("int"))).alias("salt"))
+                  .join(facts.withColumnRenamed("c", "u"), "u")
+                  .select("u", "salt", F.lit(0).alias("kind"), F.col("u").alias("v"), *names))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (members.unionByName(heads).repartition(n, "u", "salt").sortWithinPartitions("u", "salt", "kind")
+                   .select("u", "v", "kind", *names))
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (u, v) of classes that may reach the threshold."""
-    side = lambda c: classes.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"), F.col("sk").alias(f"s{c}"))
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
-    both = both.where(100 * F.least("nu", "nv") >= threshold * F.greatest("nu", "nv")).select("u", "v", "nu", "nv", "su", "sv")
+    """Pairs (u, v) of classes that may reach the threshold: by their sizes, then by their registers."""
+    size = lambda c: classes.select(F.col("c").alias(c), F.col("n").alias(f"n{c}"))
+    fit = pairs.join(size("u"), "u").join(size("v"), "v").where(100 * F.least("nu", "nv") >= threshold * F.greatest("nu", "nv")).select("u", "v")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head_n, head = None, None
         for batch in batches:
-            if batch.num_rows:
-                keep = possible(_sk(batch.column(4)), _sk(batch.column(5)), _np(batch.column(2)), _np(batch.column(3)), threshold)
-                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["u", "v"])
+            if not batch.num_rows:
+                continue
+            kind, n, sk = _np(batch.column(2)), _np(batch.column(3)), _sk(batch.column(4))
+            front = np.maximum.accumulate(np.where(kind == 0, np.arange(len(kind)), -1))
+            a, na = sk[np.maximum(front, 0)], n[np.maximum(front, 0)]
+            if (front < 0).any():                           # members of a u that stands in the batch before
+                a[front < 0], na[front < 0] = head, head_n
+            head_n, head = na[-1], a[-1]
+            keep = (kind == 1) & possible(a, sk, na, n, threshold)
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["u", "v"])
 
-    return both.mapInArrow(task, "u long, v long")
+    return _lined(fit, classes.select("c", "n", "sk"), "n", "sk").mapInArrow(task, "u long, v long")
 
 
 COMPARED = "u long, v long, linked boolean, nu long, nv long, diff binary"
@@ -164,18 +190,10 @@ COMPARED = "u long, v long, linked boolean, nu long, nv long, diff binary"
 def _compare(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """Pairs (u, v) on their full sets: are they linked, set sizes, and how v differs from u.
 
-    Members (v) stream past the set of their u, which stands once in front of every ``SALT`` of
-    them; a task holds one such set.  ``diff`` holds the shingles that are in one of the two only.
+    Members (v) stream past the set of their u; a task holds one such set.  ``diff`` holds the shingles
+    that are in one of the two only.
     """
-    sizes = pairs.groupBy("u").agg(F.expr(f"(count(1) + {SALT} - 1) div {SALT}").alias("_parts"))
-    salted = pairs.join(sizes, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.col("_parts")).cast("int"))
-    members = salted.join(texts.withColumnRenamed("c", "v"), "v").select("u", "salt", F.lit(1).alias("kind"), "v", "text")
-    heads = (sizes.select("u", F.explode(F.sequence(F.lit(0), (F.col("_parts") - 1).cast("int"))).alias("salt"))
-                  .join(texts.withColumnRenamed("c", "u"), "u")
-                  .select("u", "salt", F.lit(0).alias("kind"), F.col("u").alias("v"), "text"))
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lined = (members.unionByName(heads).repartition(n, "u", "salt").sortWithinPartitions("u", "salt", "kind")
-                    .select("u", "v", "kind", "text"))
+    lined = _lined(pairs, texts, "text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = None
@@ -338,7 +356,7 @@ def _pairs_without_first(labelled: DataFrame, star: DataFrame, classes: DataFram
     compared with, or by way of, a common first class."""
     several = labelled.groupBy("b").agg(F.min("comp").alias("_a"), F.max("comp").alias("_z")).where("_a <> _z").select("b")
     firsts = (star.select(F.col("v").alias("c"), "u").unionByName(star.select(F.col("u").alias("c"), "u"))
-                  .groupBy("c").agg(F.collect_set("u").alias("firsts")))      # a member's buckets are its bands: at most 32 and itself
+                  .groupBy("c").agg(F.collect_set("u").alias("firsts")))      # a member's buckets are its bands: at most 42 and itself
     mixed = (labelled.join(several, "b").join(classes.select("c", "n", "sk"), "c").join(firsts, "c", "left")
                      .withColumn("firsts", F.coalesce("firsts", F.array().cast("array<bigint>")))
                      .withColumn("seen", F.array_contains("firsts", F.col("u"))))
@@ -373,8 +391,12 @@ def _classed(docs: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
 
     bands = classes.select("c", F.explode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("sk", 1 + i * BAND, BAND)) for i in range(REGISTERS // BAND)])).alias("b"))
-    buckets = bands.groupBy("b").agg(F.min("c").alias("u"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stage(bands.join(buckets, "b"), "members")        # only buckets of two and more
+    # A bucket meets its members in as many of ``PLACES`` places as it has members in, so a hot one is several tasks' work.
+    bands = bands.withColumn("t", F.pmod(F.xxhash64("c"), F.lit(PLACES)).cast("int"))
+    buckets = (bands.groupBy("b").agg(F.min("c").alias("u"), F.count(F.lit(1)).alias("size"), F.bit_or(F.expr("shiftleft(1L, t)")).alias("_places"))
+                    .where("size > 1"))                         # only buckets of two and more
+    places = F.filter(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda t: F.expr("_places").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), t)) != 0)
+    members = stage(bands.join(buckets.select("b", "u", "size", F.explode(places).alias("t")), ["b", "t"]).drop("t"), "members")
     texts = _texts(keyed, classes, members)
 
     pairs = stage(_likely(members.where("c <> u").select("u", F.col("c").alias("v")).distinct(), classes, threshold), "star")
