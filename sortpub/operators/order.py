@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sortpub.operators.position import with_position
+from sortpub.operators.position import range_partitions, with_position
 from sortpub.operators.profile import LOW_CARDINALITY_THRESHOLD, key_profile
 from sortpub.schema import SOURCE_POSITION, check_key, serialize, sort_columns
 from sortpub.session import stage
@@ -50,6 +50,16 @@ def total_order(df: DataFrame, key: str, columns: list[str] | None = None,
     return ranked.select(F.col("_rank").alias(offset), *cols)
 
 
+def sorted_shards(df: DataFrame, key: str, columns: list[str] | None = None, tiebreak: tuple[str, ...] = SOURCE_POSITION,
+                  partitions: int | None = None) -> tuple[DataFrame, list[str]]:
+    """Rows of ``df`` range-partitioned and sorted as ``total_order`` ranks them (no offset yet), and the record columns."""
+    check_key(df, key)
+    cols = _record_columns(df, columns, tiebreak)
+    rows, present = _with_tiebreak(df, cols, tiebreak)
+    order = [F.col(c).asc() for c in sort_columns(rows, key, cols, tuple(present))]
+    return rows.repartitionByRange(partitions or range_partitions(rows), *order).sortWithinPartitions(*order), cols
+
+
 def bucket_order(df: DataFrame, key: str, columns: list[str] | None = None,
                  tiebreak: tuple[str, ...] = SOURCE_POSITION, offset: str = "offset",
                  partitions: int | None = None) -> DataFrame:

@@ -13,9 +13,31 @@ FEW_FIELDS = "few_fields"
 BAD_ID = "bad_id"
 
 
+# Verdicts of the line filter.
+KEEP, BLANK, FEW = "keep", "blank", "few"
+
+
+def judge_lines(df: DataFrame, value: str = "value") -> DataFrame:
+    """Every line trimmed, with ``_verdict``: keep, blank (or null), or few (fields).
+
+    Two projections, trim and verdict: the verdict takes the trimmed value twice, which the optimizer doesn't inline.
+    """
+    others = [c for c in df.columns if c != value]
+    trimmed = df.select(*others, trim_ws(value).alias(value))
+    few = F.when(F.length(value) > 0, F.lit(FEW)).otherwise(F.lit(BLANK))
+    return trimmed.select(*others, value, F.when(keep_line(value), F.lit(KEEP)).otherwise(few).alias("_verdict"))
+
+
+def kept(judged: DataFrame) -> DataFrame:
+    """The lines to keep.  A generator, not a filter: a filter would be pushed below the verdict's
+    projections and compute them, and the line, a second time."""
+    others = [c for c in judged.columns if c != "_verdict"]
+    return judged.select(F.explode(F.when(F.col("_verdict") == KEEP, F.array(F.struct(*others)))).alias("_r")).select("_r.*")
+
+
 def filter_lines(df: DataFrame, value: str = "value") -> DataFrame:
-    """Publisher's line filter: keep non-blank lines with >= 3 commas, trimmed."""
-    return df.where(keep_line(value)).withColumn(value, trim_ws(value))
+    """Publisher's line filter: keep non-blank lines with >= 3 commas, trimmed; a line is computed once."""
+    return kept(judge_lines(df, value)).select(*df.columns)
 
 
 def parse(df: DataFrame, value: str = "value", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:

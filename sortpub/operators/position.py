@@ -76,7 +76,7 @@ def range_partitions(df: DataFrame, bytes_per_partition: int = PARTITION_BYTES)
 
 def with_position(df: DataFrame, order: list[Column | str] | None = None, name: str = "position",
                   partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 0..N-1 in ``order`` (or in present partition order if None).
+    """Add ``name`` = 0..N-1 in ``order`` (or in present partition order if None); a column of that name is replaced.
 
     With ``order`` the staged copy is range-partitioned and sorted inside each partition.
     The order should be total up to identical rows; rows that tie keep one repeatable
@@ -89,14 +89,14 @@ def with_position(df: DataFrame, order: list[Column | str] | None = None, name:
     else:
         partitions = df.rdd.getNumPartitions()
     mark = F.monotonically_increasing_id()
-    staged = stage(body.withColumn("_m", mark).select(
-        *df.columns, F.shiftright("_m", _ROW_BITS).alias("_p"),
-        F.col("_m").bitwiseAND(F.lit(_ROW_MASK)).alias("_i")), f"position_{name}")
-    counts = staged.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    # The caller's columns travel in one struct, so none of them can clash with the marks.
+    held = [c for c in df.columns if c != name]
+    row = F.struct(*[F.col(f"`{c}`") for c in held]) if held else F.struct(F.lit(0).alias("_none"))
+    staged = stage(body.select(row.alias("row"), F.shiftright(mark, _ROW_BITS).alias("p"), mark.bitwiseAND(F.lit(_ROW_MASK)).alias("i")),
+                   f"position_{name}")
+    counts = staged.groupBy("p").agg((F.max("i") + 1).alias("n"))
+    before = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     if partitions <= MAX_BROADCAST_PARTITIONS:
         bases = F.broadcast(bases)
-    return (staged.join(bases, "_p")
-                  .withColumn(name, F.col("_base") + F.col("_i"))
-                  .drop("_p", "_i", "_base"))
+    return staged.join(bases, "p").select(*[F.col(f"row.`{c}`").alias(c) for c in held], (F.col("base") + F.col("i")).alias(name))

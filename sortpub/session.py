@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Rows beyond which a driver-side table travels as Arrow instead of literals.
+LITERAL_ROWS = 8
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sortpub") -> SparkSession:
     """Session for tests and the bench; clusters bring their own session."""
     return (
@@ -92,11 +96,18 @@ def literal_frame(spark: SparkSession, rows: list[tuple], schema: list[tuple[str
     """A small DataFrame of driver-side values, built JVM-side (no Python worker).
 
     ``spark.createDataFrame`` on a Python list ships the rows through a Python RDD,
-    which starts Python workers in the tasks; literals avoid that.
+    which starts Python workers in the tasks; literals avoid that, and so does an Arrow
+    table, which the JVM decodes (more than ``LITERAL_ROWS`` rows; int, long and string).
     """
     from pyspark.sql import functions as F
 
     if not rows:
         return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in schema])
+    if len(rows) > LITERAL_ROWS:
+        import pyarrow as pa
+
+        kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+        table = pa.table({n: pa.array([r[i] for r in rows], kinds[t]) for i, (n, t) in enumerate(schema)})
+        return spark.createDataFrame(table, ", ".join(f"{n} {t}" for n, t in schema))
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, schema)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
