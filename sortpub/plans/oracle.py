@@ -10,6 +10,7 @@ from __future__ import annotations
 from sortpub.domains import ADDRESS_LEN, ALNUM_SPACE, CONTINENTS, DIGITS, ID_MAX, ID_MIN, LETTERS, NAME_LEN
 from sortpub.functions.text import WHITESPACE_CODEPOINTS
 from sortpub.plans.queries import PEEK_N, RUN_CHUNK, TOP_N
+from sortpub.sources.generate import CHOICES, PER_WORD, WORDS
 
 WS = "(" + " || ".join(f"chr({c})" for c in WHITESPACE_CODEPOINTS) + ")"
 
@@ -145,37 +146,51 @@ def _split4(table: str, key: str, trim: bool) -> str:
 FROM (SELECT {key}, string_split(value, ',') AS p FROM {table})"""
 
 
-def _sha(field: str) -> str:
-    return f"sha256('42|' || CAST(o_orderkey AS VARCHAR) || '|{field}')"
-
-
-def _text(field: str, digests: int) -> str:
-    return " || ".join(_sha(f"{field}.{i}") for i in range(digests))
-
-
-def _draw(h: str, j: str) -> str:
-    return f"('0x' || substr({h}, ({j}) * 4 + 1, 4))::INTEGER"
-
-
-def _wide(h: str) -> str:
-    return f"('0x' || substr({h}, 1, 12))::BIGINT"
-
-
-def _chars(h: str, charset: str, sizes: tuple[int, int]) -> str:
-    size = f"{sizes[0]} + {_draw(h, '0')} % {sizes[1] - sizes[0] + 1}"
-    return (f"array_to_string(list_transform(range(1, 1 + {size}), "
-            f"lambda j: substr('{charset}', {_draw(h, 'j')} % {len(charset)} + 1, 1)), '')")
+# The primes of 64-bit xxHash, and the seed that Spark's xxhash64 begins with.
+P1, P2, P3, P4, P5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+SPARK_SEED = 42
+_FULL = "18446744073709551616::UHUGEINT"
+
+
+def _xxhash(value: str, seed: str, keep: str) -> list[str]:
+    """Steps (select lists) of xxHash of one 64-bit number; the last gives ``h``."""
+    rot = lambda x, n: f"(({x} * {1 << n}::UHUGEINT) % {_FULL} + {x} // {1 << (64 - n)}::UHUGEINT)"
+    mul = lambda x, p: f"({x} * {p}::UHUGEINT) % {_FULL}"
+    shifted = lambda n: f"xor(h, h // {1 << n}::UHUGEINT)"
+    return [f"{keep}, {mul(value, P2)} AS h, ({seed} + {P5}::UHUGEINT + 8) % {_FULL} AS s", f"{keep}, {mul(rot('h', 31), P1)} AS h, s",
+            f"{keep}, xor(h, s) AS h", f"{keep}, ({mul(rot('h', 27), P1)} + {P4}::UHUGEINT) % {_FULL} AS h", f"{keep}, {shifted(33)} AS h",
+            f"{keep}, {mul('h', P2)} AS h", f"{keep}, {shifted(29)} AS h", f"{keep}, {mul('h', P3)} AS h", f"{keep}, {shifted(32)} AS h"]
+
+
+def _chars(words: list[str], charset: str, n: int) -> list[str]:
+    """Characters as SQL; a pair's first letter is its higher digit."""
+    k, out = len(charset), []
+    for i in range(0, n, 2):
+        pair = f"({words[i // PER_WORD]} // {k ** (i % PER_WORD)} % {k * k})"
+        out += [f"'{charset}'[{pair} // {k} + 1]", f"'{charset}'[{pair} % {k} + 1]"]
+    return out
+
+
+def _generated() -> str:
+    """Records drawn from the order keys with seed 42: five chained hashes (seed, key, counter) each."""
+    ctes = [f"g0 AS (SELECT o_orderkey, j, {SPARK_SEED}::UHUGEINT AS h FROM orders, range({WORDS}) r(j))"]
+    for value in ("42::UHUGEINT", "o_orderkey::UHUGEINT", "j::UHUGEINT"):
+        for step in _xxhash(value, "h", "o_orderkey, j"):
+            ctes.append(f"g{len(ctes)} AS (SELECT {step} FROM g{len(ctes) - 1})")
+    last = f"g{len(ctes) - 1}"
+    words = ", ".join(f"max(CASE WHEN j = {j} THEN (h // 2)::BIGINT END) AS w{j}" for j in range(WORDS))
+    part = lambda name: f"(w0 // {CHOICES[name][0]} % {CHOICES[name][1]})"
+    name = " || ".join(_chars(["w1", "w2"], LETTERS, NAME_LEN[1] + NAME_LEN[1] % 2))
+    text = _chars(["w3", "w4"], ALNUM_SPACE, ADDRESS_LEN[1])
+    address = " || ".join([f"'{DIGITS}'[{part('digit')} + 1]", text[1], "' '", *text[3:]])
+    return f"""WITH {", ".join(ctes)},
+w AS (SELECT o_orderkey, {words} FROM {last} GROUP BY o_orderkey)
+SELECT o_orderkey, CAST({part('id')} AS INTEGER) AS id, substr({name}, 1, {NAME_LEN[0]} + {part('name')}) AS name,
+  substr({address}, 1, {ADDRESS_LEN[0]} + {part('address')}) AS address, [{_CONTINENTS}][{part('continent')} + 1] AS continent FROM w"""
 
 
 ORACLES: dict[str, str] = {
-    "generate_people": f"""WITH k AS (
-  SELECT o_orderkey, {_sha('id')} AS hi, {_text('name', 1)} AS hn, {_text('address', 2)} AS ha, {_sha('digit')} AS hd, {_sha('continent')} AS hc
-  FROM orders)
-SELECT o_orderkey, CAST({_wide('hi')} % {ID_MAX} AS INTEGER) AS id,
-  {_chars('hn', LETTERS, NAME_LEN)} AS name,
-  '{DIGITS}'[CAST({_wide('hd')} % 10 AS INTEGER) + 1] || a[2] || ' ' || substr(a, 4) AS address,
-  [{_CONTINENTS}][({_draw('hc', '0')} % {len(CONTINENTS)}) + 1] AS continent
-FROM (SELECT *, {_chars('ha', ALNUM_SPACE, ADDRESS_LEN)} AS a FROM k)""",
+    "generate_people": _generated(),
     "line_roundtrip": """WITH base AS (
   SELECT c_custkey % 6 AS k, concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, '1 x', c_mktsegment) AS r FROM customer)
 SELECT CASE k WHEN 0 THEN '#' || r WHEN 1 THEN r || chr(1) || 'tail' WHEN 2 THEN '"' || r || '" ' WHEN 3 THEN '  ' || r
