@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortpub.schema import HEADER, serialize
+from sortpub.session import scratch_path
 
-# Characters that can't stand inside a line.
+# Characters that can't stand inside a line, the longest line taken over, and its reject reason.
 BREAKS = "[\\n\\r\\u0000]"
+MAX_LINE_BYTES = 1 << 20
+TOO_LONG = "too_long"
 _ROW_MASK = (1 << 33) - 1
 
 
@@ -30,21 +33,45 @@ def unwritable(df: DataFrame, value: str = "value") -> DataFrame:
     return df.where(~is_line(value))
 
 
+def _judged(df: DataFrame, value: str) -> tuple[DataFrame, DataFrame]:
+    """(lines, rejects) of ``df``, from one evaluation: staged once, in a folder per verdict."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "judged")
+    taken = df.select(F.col(value).alias("value"))
+    # The verdict stands in a projection above the value's, which is thus computed once.
+    taken.select("value", is_line("value").cast("int").alias("_line")).write.partitionBy("_line").parquet(path)
+    staged = spark.read.schema("value string, _line int").parquet(path)
+    return staged.where("_line = 1").select("value"), staged.where("_line = 0").select("value")
+
+
+def with_headers(lines: DataFrame, header: str, per_file: int = 0) -> DataFrame:
+    """``header`` before the first line that a task writes, and before every line that begins a further file
+    of ``per_file`` lines (0: a task writes one file)."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
+    first = (row % (per_file - 1) == 0) if per_file else row == 0
+    rows = lines.select("value", first.alias("_first"))
+    return rows.select(F.explode(F.when(F.col("_first"), F.array(F.lit(header), F.col("value"))).otherwise(F.array("value"))).alias("value"))
+
+
 def write_lines(df: DataFrame, path: str, value: str = "value", header: str = HEADER, mode: str = "overwrite",
                 rejects: str | None = None) -> str:
     """A2: a header line in every file, then the lines exactly as given.
 
-    Rows that are no line are written to ``rejects`` (Parquet); without it they raise.
+    The source is computed once.  Rows that are no line are written to ``rejects`` (Parquet: ``value``); without it
+    they raise before anything is written.  ``spark.sql.files.maxRecordsPerFile`` is kept to (the header counts):
+    every file of a task has its header; a limit of 1 leaves no room for a line and raises.
     """
-    bad = unwritable(df, value)
+    spark = df.sparkSession
+    per_file = int(spark.conf.get("spark.sql.files.maxRecordsPerFile"))
+    if per_file == 1:
+        raise ValueError("a file of one record holds its header only")
+    lines, bad = _judged(df, value)
     if rejects:
         bad.write.mode(mode).parquet(rejects)
     elif not bad.isEmpty():
         raise ValueError("values hold line breaks, NUL or null; give a path for rejects")
-    first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)) == 0
-    rows = df.where(is_line(value)).select(F.col(value).alias("value"), first.alias("_first"))
-    lines = rows.select(F.explode(F.when(F.col("_first"), F.array(F.lit(header), F.col("value"))).otherwise(F.array("value"))).alias("value"))
-    lines.write.mode(mode).option("lineSep", "\n").text(path)
+    (with_headers(lines, header, max(per_file, 0)).write.mode(mode).option("lineSep", "\n")
+        .option("maxRecordsPerFile", max(per_file, 0)).text(path))
     return path
 
 
@@ -86,6 +113,22 @@ def read_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame
     return not_blank(drop_headers(raw) if header else raw)
 
 
+def bounded_lines(lines: DataFrame, max_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+    """A3 with the bound on a line's length: (value, reject_reason); a line of more than ``max_bytes`` UTF-8 bytes is
+    ``too_long``.  Route with ``kept_lines`` and ``long_lines``."""
+    return lines.select("value", F.when(F.octet_length("value") > max_bytes, F.lit(TOO_LONG)).alias("reject_reason"))
+
+
+def kept_lines(bounded: DataFrame) -> DataFrame:
+    return bounded.where("reject_reason is null").select("value")
+
+
+def long_lines(bounded: DataFrame) -> DataFrame:
+    """(value_bytes, head, reject_reason): the size of every line beyond the bound and its first 100 characters."""
+    return bounded.where("reject_reason is not null").select(
+        F.octet_length("value").alias("value_bytes"), F.substring("value", 1, 100).alias("head"), "reject_reason")
+
+
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """All lines, no header handling."""
     return spark.read.option("lineSep", "\n").text(path)
