@@ -211,6 +211,8 @@ UNION ALL SELECT 'ignore', k, k, p FROM n
 UNION ALL SELECT 'sorted over lines', k, k, p FROM v""",
     "publish_sorted": f"""{WITH_VALID}SELECT {_rank('id', ['name', 'address', 'continent'])} AS "offset",
   {_ser()} AS value FROM valid""",
+    "append_sorted": f"""{WITH_VALID}SELECT {_rank('name', ['id', 'address', 'continent'])} AS "offset", {_ser()} AS value FROM valid""",
+    "publish_partitions": f"""{WITH_VALID}SELECT {_rank('continent', ['id', 'name', 'address'])} AS "offset", {_ser()} AS value FROM valid""",
     "peek_sorted": f"""{WITH_VALID},
 ranked AS (
   SELECT 'id' AS topic, {_rank('id', ['name', 'address', 'continent'])} AS "offset", {_ser()} AS value FROM valid
@@ -283,7 +285,18 @@ SELECT 'published' AS topic, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order
 UNION ALL SELECT 'damaged', n, wrong, holes, wrong = 0 AND NOT holes FROM bad""",
     "check_conserved": f"""{WITH_VALID}SELECT count(*) AS rows_in, count(*) AS rows_out, CAST(0 AS BIGINT) AS missing,
   CAST(0 AS BIGINT) AS extra, true AS fingerprint_equal FROM valid""",
+    "record_differences": f"""{WITH_VALID},
+a AS (SELECT id, name, address, continent FROM valid),
+b AS (SELECT id, CASE WHEN o_orderkey % 89 = 0 THEN name || 'x' ELSE name END AS name, address, continent FROM valid WHERE o_orderkey % 97 <> 0
+      UNION ALL SELECT id, name, address, continent FROM valid WHERE o_orderkey % 83 = 0)
+SELECT 'missing' AS side, *, count(*) AS times FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+UNION ALL SELECT 'extra', *, count(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL""",
     "check_domains": _domains(),
+    "stream_topic": f"{WITH_LINES},\n{KEPT}\nSELECT value, (SELECT count(*) FROM kept) AS positions FROM kept",
+    "stream_metrics": f"""{WITH_LINES},
+t AS (SELECT {_trim('value')} AS v FROM lines),
+u AS (SELECT v, length(v) - length(replace(v, ',', '')) AS commas FROM t)
+SELECT count(*) AS read, count_if(v = '') AS dropped_blank, count_if(v <> '' AND commas < 3) AS dropped_few_fields FROM u""",
     "stream_snapshot": """SELECT event_id, user_id, event_type, ts,
   row_number() OVER (ORDER BY ts, event_id) - 1 AS "offset" FROM events""",
 }

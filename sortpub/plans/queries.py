@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortpub.functions.text import bucket_label, split_fields, strict_int, trim_ws
-from sortpub.operators import order, parse, profile, verify
+from sortpub.operators import differ, order, parse, profile, verify
 from sortpub.operators.partition import bucket_route, read_buckets, round_robin
 from sortpub.operators.position import with_position
 from sortpub.plans import views
 from sortpub.schema import RECORD_COLUMNS, key_text, serialize
 from sortpub.session import literal_frame, scratch_path, stage
-from sortpub.sources import generate, lines as line_io, topic
+from sortpub.sources import generate, kafka_order, lines as line_io, topic
+from sortpub.streaming import topics
 from sortpub.streaming.snapshot import stream_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +209,15 @@ def q_check_conserved(spark, sf):
     return verify.check_conserved(v.select(*REC), back.select(*REC))
 
 
+def q_record_differences(spark, sf):
+    """Records against a copy in which some are lost, some renamed and some doubled."""
+    v = stage(_valid(spark, sf))
+    k = F.col("o_orderkey")
+    changed = v.where(k % 97 != 0).withColumn("name", F.when(k % 89 == 0, F.concat("name", F.lit("x"))).otherwise(F.col("name")))
+    copy = changed.unionByName(v.where(k % 83 == 0))
+    return differ.differences(v, copy, REC)
+
+
 def q_check_domains(spark, sf):
     return verify.check_domains(_valid(spark, sf))
 
@@ -293,6 +303,22 @@ def q_publish_sorted(spark, sf):
     return topic.read_topic(spark, path, "id").select("offset", "value")
 
 
+def q_append_sorted(spark, sf):
+    """A third of the records, then the others, appended into the order by name."""
+    v = stage(_valid(spark, sf))
+    path = scratch_path(spark, "name")
+    topic.publish_sorted(v.where(F.col("o_orderkey") % 3 == 0), "name", path, columns=REC, tiebreak=KEY)
+    topic.publish_sorted(v.where(F.col("o_orderkey") % 3 != 0), "name", path, mode="append", columns=REC, tiebreak=KEY)
+    return topic.read_topic(spark, path, "name").select("offset", "value")
+
+
+def q_publish_partitions(spark, sf):
+    """The order by continent over four partitions, as they are sent to Kafka, put together again from their bounds."""
+    path, bounds = scratch_path(spark, "partitions"), scratch_path(spark, "bounds")
+    kafka_order.publish_in_order(_valid(spark, sf), "continent", lambda frame: frame.write.parquet(path), 4, bounds, REC, KEY)
+    return kafka_order.read_in_order(spark, spark.read.parquet(path), bounds)
+
+
 def q_peek_sorted(spark, sf):
     v = stage(_valid(spark, sf))
     root = scratch_path(spark, "sorted")
@@ -314,6 +340,36 @@ def q_stream_snapshot(spark, sf):
                          [F.col("ts"), F.col("event_id")], name="offset")
 
 
+def _line_files(spark, sf) -> str:
+    path = scratch_path(spark, "line_files")
+    views.lines(spark, sf).select("value").write.option("maxRecordsPerFile", 2_000).text(path)
+    return path
+
+
+def q_stream_topic(spark, sf):
+    """Line files streamed into a topic, a commit per batch; every batch is handed over twice."""
+    path = scratch_path(spark, "streamed")
+    again = lambda rows, number: topics.append_batch(rows, number, path, "lines")
+    topics.stream_to_topic(topics.line_stream(spark, _line_files(spark, sf), max_files=4), path, "lines", each=again)
+    t = topic.read_topic(spark, path)
+    positions = t.agg(F.count_distinct("partition", "offset")).first()[0]
+    return t.select("value", F.lit(positions).alias("positions"))
+
+
+def q_stream_metrics(spark, sf):
+    """Counters that come with the batches of a stream of lines."""
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 4).schema("value string").load(_line_files(spark, sf))
+    rows, listener = topics.observed_stream(parse.judge_lines(raw), topic.line_counters())
+    out = scratch_path(spark, "judged_stream")
+    query = (rows.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/checkpoint")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    counts = listener.totals(spark)
+    spark.streams.removeListener(listener)
+    names = ["read", "dropped_blank", "dropped_few_fields"]
+    return literal_frame(spark, [tuple(counts[n] for n in names)], [(n, "long") for n in names])
+
+
 QUERIES: dict[str, Query] = {
     "generate_people": q_generate_people,
     "csv_roundtrip": q_csv_roundtrip,
@@ -324,6 +380,8 @@ QUERIES: dict[str, Query] = {
     "topic_stats": q_topic_stats,
     "append_vs_replace": q_append_vs_replace,
     "publish_sorted": q_publish_sorted,
+    "append_sorted": q_append_sorted,
+    "publish_partitions": q_publish_partitions,
     "peek_sorted": q_peek_sorted,
     "line_filter": q_line_filter,
     "doc_line_filter": q_doc_line_filter,
@@ -354,6 +412,9 @@ QUERIES: dict[str, Query] = {
     "run_stats": q_run_stats,
     "check_sorted": q_check_sorted,
     "check_conserved": q_check_conserved,
+    "record_differences": q_record_differences,
     "check_domains": q_check_domains,
     "stream_snapshot": q_stream_snapshot,
+    "stream_topic": q_stream_topic,
+    "stream_metrics": q_stream_metrics,
 }
