@@ -6,7 +6,8 @@ input.  Winnowing picks the line of smallest hash in every window of ``min_lines
 every such run holds a picked line at the same place in all its copies.  Picked lines that
 occur at two places or more are joined back to their places; a match is extended both ways by
 the windows of ``min_lines`` lines around it, and each window whose earliest start lies
-elsewhere covers its lines.
+elsewhere covers its lines.  A document of fewer lines that holds a word is one run: all of it is deleted if
+an earlier document has the same text.
 
 Groups are summed up before they are shuffled, and a window's earliest start is a minimum: a
 line that stands in a third of all documents never makes pairs.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_LINES = 3
+PLACES = 16             # in which the copies of a short text meet their first
 DOC = ["_d1", "_d2"]
 
 
@@ -60,7 +62,22 @@ def removed_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     later = (found.join(earliest, ["w1", "w2"]).where(F.struct(*DOC, "s") > F.col("_first"))
                   .select(*DOC, "s").groupBy(*DOC).agg(F.collect_set("s").alias("_s")))
     gone = F.array_distinct(F.flatten(F.transform("_s", lambda s: F.sequence(s, s + t - 1))))
-    return later.select(*DOC, gone.alias("_gone"))
+    return later.select(*DOC, gone.alias("_gone")).unionByName(_short_copies(docs, min_lines))
+
+
+def _short_copies(docs: DataFrame, min_lines: int) -> DataFrame:
+    """(_d1, _d2, _gone): all lines of documents with fewer than ``min_lines`` lines whose text stands earlier.
+
+    The copies of one text are met by their first document in ``PLACES`` places.
+    """
+    short = (docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*doc_key(), split_lines(F.col("text")).alias("_l"))
+                 .where(F.size("_l") < min_lines).select(*DOC, F.size("_l").alias("_k"), F.xxhash64("_l").alias("w1"), F.xxhash64(F.lit(7), "_l").alias("w2")))
+    firsts = (short.groupBy("w1", "w2").agg(F.min(F.struct(*DOC)).alias("_first"), F.max(F.struct(*DOC)).alias("_last"))
+                   .where("_first < _last").drop("_last")
+                   .withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1)))))
+    placed = short.withColumn("_place", F.pmod(F.xxhash64(*DOC), F.lit(PLACES)).cast("int"))
+    copies = placed.join(firsts, ["w1", "w2", "_place"]).where(F.struct(*DOC) > F.col("_first"))
+    return copies.select(*DOC, F.sequence(F.lit(0), F.col("_k") - 1).alias("_gone")).dropDuplicates(DOC)
 
 
 def _kept(docs: DataFrame, min_lines: int, columns: list[Column]) -> DataFrame:
@@ -99,7 +116,11 @@ later AS (
   SELECT doc_id, n FROM (
     SELECT doc_id, n, row_number() OVER (PARTITION BY body ORDER BY doc_id, n) AS k
     FROM win WHERE n + {MIN_LINES} <= total) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, n + i AS n FROM later, range({MIN_LINES}) r(i)),
+short AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k FROM documents
+  WHERE regexp_matches(text, '[^\\x20\\x09-\\x0D]') AND len(string_split(text, chr(10))) < {MIN_LINES}),
+gone AS (SELECT DISTINCT doc_id, n + i AS n FROM later, range({MIN_LINES}) r(i)
+         UNION SELECT l.doc_id, l.n FROM lines l JOIN short ON l.doc_id = short.doc_id AND k > 1),
 marked AS (
   SELECT l.doc_id, l.n, l.line, g.n IS NOT NULL AS g
   FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n),

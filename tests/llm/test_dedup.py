@@ -234,9 +234,11 @@ def brute_component(rows, text, threshold):
 # -- lines -------------------------------------------------------------------------------
 
 def brute_lines(rows, t):
-    docs, seen = order([r for r in rows if r[1] is not None]), {}
+    docs, seen, whole = order([r for r in rows if r[1] is not None]), {}, {}
     for k, (_, _, text) in enumerate(docs):
         lines = text.split("\n")
+        if len(lines) < t and words(text):
+            whole.setdefault(text, k)
         for i in range(len(lines) - t + 1):
             seen.setdefault(tuple(lines[i:i + t]), (k, i))
     out = {}
@@ -245,6 +247,8 @@ def brute_lines(rows, t):
         for i in range(len(lines) - t + 1):
             if seen[tuple(lines[i:i + t])] < (k, i):
                 gone |= set(range(i, i + t))
+        if whole.get(text, k) < k:
+            gone = set(range(len(lines)))
         kept = "\n".join(x for i, x in enumerate(lines) if i not in gone)
         out[None if null else d, text] = (len(lines), len(gone), sha(kept.encode()), kept)
     return out
@@ -253,7 +257,9 @@ def brute_lines(rows, t):
 def line_rows():
     run = "one line\nsecond line\nthird line\nfourth line"
     return [(1, run), (2, "head\n" + run + "\ntail"), (3, "second line\nthird line"), (4, run + "\n" + run), (5, "a\n" * 12),
-            (6, "\n\n\n\n"), (7, None), (8, ""), (None, run), (9, "x\nsecond line\nthird line\nfourth line\ny"), (2, "head\n" + run + "\ntail"), (None, None)]
+            (6, "\n\n\n\n"), (7, None), (8, ""), (None, run), (9, "x\nsecond line\nthird line\nfourth line\ny"), (2, "head\n" + run + "\ntail"), (None, None),
+            (20, "two lines\nof a short text"), (21, "two lines\nof a short text"), (21, "two lines\nof a short text"), (22, "one line only"), (23, "one line only"),
+            (24, "  "), (25, "  "), (None, "one line only")]
 
 
 @pytest.mark.parametrize("t", [1, 2, 3])
