@@ -1,22 +1,23 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five transducers read the words of a clause one by one and are composed into one machine:
-
-* insult: words and word stems, each with a weight (a seed list, and what labels teach);
-* threat: verbs of harm;
-* target: a person spoken to or about;
-* negation: turns what follows into half or less;
-* reported speech: marks what follows as somebody else's words.
-
-The machine's state is (negated, reported, person seen, threat open).  A clause's score is the
-weight of the insults on its path, raised when a person stands in the same clause, a threat's
-weight when its verb meets a person, and lowered on negated or reported paths.  A document's score is a
+Five transducers, each a weighted table (``TRANSDUCERS``), are composed into one machine
+(``transducer``); it reads the classes of a clause's words, and each transducer reads what the one before wrote:
+
+* target: is a person spoken to or about?  It guesses at the clause's start whether one comes and
+  dies on a wrong guess, so that insults before the person are raised like those behind; a threat's
+  verb behind the person is passed on as ``late``;
+* threat: a verb of harm is armed until the person comes, or half as heavy where it comes late;
+* insult: words and word stems of the lexicon become hits of their own weight;
+* negation: halves the next hit; an insult uses the negation up, a threat leaves it;
+* reported speech: lowers every hit behind a verb of saying.
+
+A clause's score is the weight of its accepting path (there is exactly one).  A document's score is a
 logistic function of the sum over its matched clauses, of that sum per 100 words, and of the
 number of clauses that match.
 
 Insult stems are learned from labelled rows: the documents that hold a word (or a word's first
-letters) are counted by label over a sample of at most ``SAMPLE_ROWS`` labelled rows (by hash of doc_id, so
-the same on every run), and words with a clear log odds ratio enter the lexicon (at most
+letters) are counted by label over a sample of at most ``SAMPLE_ROWS`` labelled documents (by hash of doc_id, so
+the same on every run; of several texts of one doc_id the smallest), and words with a clear log odds ratio enter the lexicon (at most
 ``LEXICON`` of them).  The three coefficients are fitted on the same sample.  Label, lang, source
 and doc_id are no inputs of a score.
 
@@ -31,6 +32,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sortpub.llm.text import small_batches
+from sortpub.llm.transducer import HIT, SKIP, Machine, Runner, compose, machine
 from sortpub.session import stage
 
 SAMPLE_ROWS = 20_000
 LEXICON = 2_000
+COUNTED_WORDS = 200_000 # distinct words a task holds before it sends their counts
 MIN_ROWS = 4            # toxic rows that must hold a learned word
 MIN_LOG_ODDS = 3.0
 STEM_LETTERS = (4, 5, 6)
@@ -66,7 +70,27 @@ _TOKEN = re.compile(r"\w+|[.!?;|\n]")
 _ENDS = frozenset(".!?;|\n")
 _END = ("end", 0.0)
 _LIVE = frozenset(("insult", "threat"))
-_NEG, _REP, _PERSON, _THREAT = 1, 2, 4, 8
+
+# The transducers: (state, symbol) -> (next state, output, factor).
+WORDS = ("insult", "threat", "target", "negation", "report")
+TARGET = machine(("alone", "ahead"), ("alone", "met"), WORDS, {
+    ("ahead", "insult"): ("ahead", "insult", PERSON_GAIN), ("met", "insult"): ("met", "insult", PERSON_GAIN),
+    ("alone", "target"): None, ("ahead", "target"): ("met", "person", PERSON_GAIN), ("met", "target"): ("met", SKIP, 1.0),
+    ("met", "threat"): ("met", "late", 0.5)})
+THREAT = machine(("idle",), ("idle", "armed"), ("insult", "threat", "late", "person", "negation", "report", SKIP), {
+    ("idle", "threat"): ("armed", SKIP, 1.0), ("armed", "threat"): ("armed", SKIP, 1.0),
+    ("idle", "late"): ("idle", "harm", THREAT_WEIGHT), ("armed", "late"): ("armed", "harm", THREAT_WEIGHT),
+    ("idle", "person"): ("idle", SKIP, 1.0), ("armed", "person"): ("armed", "harm", THREAT_WEIGHT)})
+INSULT = machine(("read",), ("read",), ("insult", "harm", "negation", "report", SKIP), {
+    ("read", "insult"): ("read", "abuse", 1.0)})
+NEGATION = machine(("plain",), ("plain", "negated"), ("abuse", "harm", "negation", "report", SKIP), {
+    ("plain", "negation"): ("negated", SKIP, 1.0), ("negated", "negation"): ("negated", SKIP, 1.0),
+    ("plain", "abuse"): ("plain", HIT, 1.0), ("negated", "abuse"): ("plain", HIT, NEGATED),
+    ("plain", "harm"): ("plain", HIT, 1.0), ("negated", "harm"): ("negated", HIT, NEGATED)})
+REPORT = machine(("own",), ("own", "quoted"), (HIT, "report", SKIP), {
+    ("own", "report"): ("quoted", SKIP, 1.0), ("quoted", "report"): ("quoted", SKIP, 1.0),
+    ("quoted", HIT): ("quoted", HIT, REPORTED)})
+TRANSDUCERS: tuple[Machine, ...] = (TARGET, THREAT, INSULT, NEGATION, REPORT)
 
 
 class Grammar:
@@ -81,6 +105,7 @@ class Grammar:
         self.marks = {**{w: "threat" for w in THREATS}, **{w: "target" for w in TARGETS},
                       **{w: "negation" for w in NEGATIONS}, **{w: "report" for w in REPORTS}}
         self.known = _Symbols(self)
+        self.clause = Runner(reduce(compose, TRANSDUCERS)).weight
 
     def symbol(self, word: str) -> tuple[str, float] | None:
         if word in _ENDS:
@@ -88,36 +113,10 @@ class Grammar:
         if word in self.words:
             return "insult", self.words[word]
         if word in self.marks:
-            return self.marks[word], 0.0
+            return self.marks[word], 1.0
         best = max((self.stems[word[:n]] for n in self.sizes if word[:n] in self.stems), default=0.0)
         return ("insult", best) if best else None
 
-    def clause(self, symbols: list[tuple[str, float]]) -> float:
-        state, score = 0, 0.0
-        for kind, weight in symbols:
-            if kind == "target":
-                if state & _THREAT and not state & _PERSON:
-                    score += THREAT_WEIGHT * self._factor(state)
-                if not state & _PERSON:
-                    score *= PERSON_GAIN
-                state |= _PERSON
-            elif kind == "threat":
-                if state & _PERSON:
-                    score += THREAT_WEIGHT * self._factor(state) * 0.5
-                state |= _THREAT
-            elif kind == "negation":
-                state |= _NEG
-            elif kind == "report":
-                state |= _REP
-            else:
-                score += weight * self._factor(state) * (PERSON_GAIN if state & _PERSON else 1.0)
-                state &= ~_NEG                       # a negation holds for one match
-        return score
-
-    @staticmethod
-    def _factor(state: int) -> float:
-        return (NEGATED if state & _NEG else 1.0) * (REPORTED if state & _REP else 1.0)
-
     def features(self, text: str | None) -> tuple[float, float, float]:
         """(sum over matched clauses, that per 100 words, matched clauses), each on a log scale."""
         tokens = _TOKEN.findall((text or "").lower())
@@ -164,14 +163,17 @@ def _words_of(text: str) -> set[str]:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents outside the held-out fifth.
+    """(text, toxic) of at most ``rows`` labelled documents outside the held-out fifth, one text each, staged.
 
-    The ids and labels of the sample are broadcast (``rows`` bounds them); texts are not shuffled.
+    The ids and labels of the sample are broadcast (``rows`` bounds them); of the texts, a task sends on one
+    per sampled doc_id at most, however often that id is repeated.
     """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
                    .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
                    .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("text", "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return stage(texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+                      .select("text", "toxic"), "toxic_sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
@@ -180,16 +182,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     sample = _sample(docs, labels, rows)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                n[toxic].update(_words_of(text.as_py()))
-                n[toxic][""] += 1
+        def flush(n: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
             for kind in (0, 1):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(n[kind]), pa.string()), pa.array([v if not kind else 0 for v in n[kind].values()], pa.int64()),
                      pa.array([v if kind else 0 for v in n[kind].values()], pa.int64())], names=["w", "clean", "toxic"])
 
+        n = (Counter(), Counter())
+        for batch in batches:
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
+                n[toxic].update(_words_of(text.as_py()))
+                n[toxic][""] += 1
+                if len(n[0]) + len(n[1]) > COUNTED_WORDS:
+                    yield from flush(n)
+                    n = (Counter(), Counter())
+        yield from flush(n)
+
     table = (sample.mapInArrow(counts, "w string, clean long, toxic long").groupBy("w")
                    .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     table = stage(table.where(F.col("toxic") >= MIN_ROWS), "toxic_words")

@@ -1,6 +1,8 @@
 """Decontamination, toxicity, sharding, top-k, mixing and licences against brute force or their laws."""
 
+import itertools
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sortpub.llm import decontaminate, licenses, mixing, sharding, topk_nra, toxicity
+from sortpub.llm import decontaminate, licenses, mixing, sharding, topk_nra, toxicity, transducer
 from sortpub.llm.components import components
 from sortpub.llm.ranking import running_total
 from tests.conftest import SF
@@ -135,6 +137,68 @@ def test_clause_machine():
     assert score("you are here. a fool.") == pytest.approx(plain)  # clauses don't mix
 
 
+def accepting_paths(machines, symbols):
+    """Weights of all accepting paths of the cascade, by enumerating every choice of start states and arcs."""
+    out = []
+
+    def walk(states, i, weight):
+        if i == len(symbols):
+            if all(s in m.finals for s, m in zip(states, machines)):
+                out.append(weight)
+            return
+        def pass_on(k, symbol, factor, after):
+            if k == len(machines):
+                walk(tuple(after), i + 1, weight + (factor * symbols[i][1] if symbol == transducer.HIT else 0.0))
+                return
+            for arc in machines[k].arcs:
+                if arc.state == states[k] and arc.reads == symbol:
+                    pass_on(k + 1, arc.writes, factor * arc.factor, [*after, arc.next])
+
+        pass_on(0, symbols[i][0], 1.0, [])
+
+    for starts in itertools.product(*(m.starts for m in machines)):
+        walk(starts, 0, 0.0)
+    return out
+
+
+def clause_by_rules(symbols):
+    """The grammar told in words: what a clause scores, read off its whole list of words."""
+    total, negated, quoted = 0.0, False, False
+    persons = [i for i, (c, _) in enumerate(symbols) if c == "target"]
+    person = persons[0] if persons else None
+    for i, (c, value) in enumerate(symbols):
+        weak = (toxicity.NEGATED if negated else 1.0) * (toxicity.REPORTED if quoted else 1.0)
+        if c == "insult":
+            total += value * weak * (toxicity.PERSON_GAIN if persons else 1.0)
+            negated = False
+        elif c == "threat" and persons and i > person:
+            total += toxicity.THREAT_WEIGHT * weak / 2
+        elif i == person and any(k == "threat" for k, _ in symbols[:i]):
+            total += toxicity.THREAT_WEIGHT * weak * toxicity.PERSON_GAIN
+        negated, quoted = negated or c == "negation", quoted or c == "report"
+    return total
+
+
+def test_composition_by_path_enumeration():
+    g = toxicity.Grammar({})
+    value = {"insult": 2.5}
+    clauses = [[(c, value.get(c, 1.0)) for c in w] for n in range(5) for w in itertools.product(toxicity.WORDS, repeat=n)]
+    rng = random.Random(5)
+    clauses += [[(c, rng.choice((1.5, 4.0)) if c == "insult" else 1.0) for c in rng.choices(toxicity.WORDS, k=9)] for _ in range(200)]
+    for symbols in clauses:
+        paths = accepting_paths(toxicity.TRANSDUCERS, symbols)
+        assert len(paths) == 1, symbols
+        assert g.clause(symbols) == pytest.approx(paths[0]) == pytest.approx(clause_by_rules(symbols)), symbols
+
+
+def test_toxicity_repeated_sample_ids(spark):
+    rows = [(1, f"mean zork {i}") for i in range(50)] + [(1, None), (2, "a calm day"), (3, "zork you")]
+    labels = spark.createDataFrame([(d, 1, int(d != 2)) for d in (1, 2, 3)], "doc_id long, quality int, toxic int")
+    got = toxicity._sample(docs_frame(spark, rows), labels, 10).collect()
+    learned = [d for d in (1, 2, 3) if zlib.crc32(str(d).encode()) % 5]
+    assert len(got) == len(learned)                  # one text for each sampled id
+
+
 def test_toxicity_edges(spark):
     rows = awkward() + [(50 + i, f"you are a grozz {prose(i, 20)}") for i in range(30)] + [(100 + i, prose(200 + i, 25)) for i in range(60)]
     docs = docs_frame(spark, rows)
