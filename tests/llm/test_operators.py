@@ -59,6 +59,8 @@ def test_leaks(spark):
                 dist = sellers(p, decontaminate.normalise(t))
                 if dist <= int(len(p) * decontaminate.BUDGET):
                     want[d, i, dist] += 1
+            elif p and f" {p} " in f" {decontaminate.normalise(t)} ":
+                want[d, i, 0] += 1
     assert got == want and (2, 1, max(k[2] for k in want)) in want
     # the same by several shards of items
     frame, test = docs_frame(spark, rows), items_frame(spark, items)
@@ -101,6 +103,18 @@ def sellers_prefix(a, b):
     return row[-1]
 
 
+def test_short_and_repeated_items(spark):
+    items = [(1, "What is 7 x 8?"), (2, "Yes."), (3, "?!"), (4, "what is 7 x 8"), *[(5, prose(1, 30))] * 40, (None, "yes")]
+    rows = [(1, "Quiz: what  is 7 X 8? Think."), (2, "What is 7 x 81?"), (3, "yes"), (4, "yesterday"), (5, None), (6, "?!"), (7, prose(1, 30))]
+    docs, test = docs_frame(spark, rows), items_frame(spark, items)
+    want = Counter({(1, 1, 0): 1, (1, 4, 0): 1, (3, 2, 0): 1, (3, None, 0): 1, (7, 5, 0): 40})
+    for chars in (20, decontaminate.SHARD_CHARS):
+        got = decontaminate.leak_pairs(docs, test, shard_chars=chars)
+        assert Counter((r.doc_id, r.item_id, r.distance) for r in got.collect()) == want
+        clean = decontaminate.drop_leaks(docs, test, shard_chars=chars)
+        assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 4, 5, 6]       # "yes" alone is no leak
+
+
 def test_leaks_of_empty_tables(spark):
     docs, items = docs_frame(spark, awkward()), items_frame(spark, [(1, prose(1, 30))])
     assert decontaminate.leak_pairs(empty(spark), items).count() == 0
