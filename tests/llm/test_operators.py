@@ -320,7 +320,8 @@ def vectors(n, dim, seed, spread=0.2):
 @pytest.mark.parametrize("block", [16, 2048])
 def test_top_k(spark, monkeypatch, block):
     monkeypatch.setattr(topk_nra, "BLOCK_ROWS", block)
-    monkeypatch.setattr(topk_nra, "BLOCK_QUERIES", 8)
+    monkeypatch.setattr(topk_nra, "BLOCK_QUERIES", 4)
+    monkeypatch.setattr(topk_nra, "GROUP_QUERIES", 8)
     rows = vectors(300, 8, 1) + [(1000 + i, [0.5] * 8) for i in range(40)]          # ties
     rows += [(400, None), (420, [None] * 8), (440, [float("nan")] * 8), (460, [float("inf")] + [0.0] * 7), (None, [0.1] * 8),
              (480, [0.25, -0.5]), (500, []), (60, rows[60][1]), (520, [0.0] * 8)]
@@ -329,6 +330,39 @@ def test_top_k(spark, monkeypatch, block):
     assert got == brute_top(rows, 5, 20)
 
 
+def test_lists_are_read_in_order_and_only_as_far(monkeypatch):
+    """Bounds hold at every depth, and what a step brings are the lists' next entries."""
+    rng = np.random.default_rng(3)
+    x, w = rng.integers(-50, 50, (40, 6)), rng.integers(-50, 50, (5, 6))
+    lists = topk_nra.Lists(np.arange(40), x)
+    both = np.concatenate([np.maximum(w, 0), np.minimum(w, 0)], axis=1)
+    scores, total, before = x @ w.T, 0, 0
+    for depth in (1, 7, 25, 40):
+        total = total + lists.read(before, depth, np.int64) @ both.T
+        assert (total + lists.frontier(depth, np.int64) @ both.T >= scores).all()
+        assert (total + lists.last(depth, np.int64) @ both.T <= scores).all()
+        for d in range(6):
+            assert sorted(x[lists.order[40 - depth:, d], d]) == sorted(x[:, d])[40 - depth:]
+        before = depth
+    assert (total == scores).all()
+    # A block whose greatest values stay below every bar isn't read at all.
+    search = topk_nra.Search(np.array([100]), np.array([[1, 1]]), 2)
+    search.block(topk_nra.Lists(np.arange(3), np.array([[9, 9], [8, 8], [7, 7]])))
+    monkeypatch.setattr(topk_nra.Lists, "read", lambda *a: pytest.fail("read"))
+    search.block(topk_nra.Lists(np.arange(3, 6), np.ones((3, 2), int)))
+    assert list(search.v) == [0, 1] and list(search.s) == [18, 16]
+
+
+def test_top_k_repeated_ids(spark):
+    rows = vectors(60, 4, 2) + [(20, [9.0] * 4), (20, [-9.0, 1.0, 1.0, 1.0]), (7, [5.0] * 4), (8, [-9.0] * 4)]
+    first = {}
+    for v, x in rows:
+        first[v] = min(first.get(v, x), x)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_nra.top_k(df, 20, 20).collect())
+    assert got == brute_top(list(first.items()), 20, 20) and max(got.values()) == 1
+
+
 def test_top_k_large_values_and_few_rows(spark):
     rows = [(i, [1e5 * (i - 3), -2e4 * i, 3.0]) for i in range(0, 100, 10)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
