@@ -202,6 +202,9 @@ SELECT CASE k WHEN 0 THEN '#' || r WHEN 1 THEN r || chr(1) || 'tail' WHEN 2 THEN
     "topic_stats": f"""WITH {EVENT_TOPIC}
 SELECT 'event_topic' AS topic, partition, min("offset") AS oldest, max("offset") + 1 AS hwm,
        count(*) AS records
+FROM event_topic GROUP BY partition""",
+    "stored_stats": f"""WITH {EVENT_TOPIC}
+SELECT 'event_topic' AS topic, partition, min("offset") AS oldest, max("offset") + 1 AS hwm, count(*) AS records
 FROM event_topic GROUP BY partition""",
     "append_vs_replace": f"""{WITH_VALID},\n{KEPT},
 n AS (SELECT count(*) AS k, least(count(*), 3) AS p FROM kept), v AS (SELECT count(*) AS k, least(count(*), 1) AS p FROM valid)
@@ -267,6 +270,9 @@ WHERE "offset" < {TOP_N}""",
         f"""SELECT '{k}' AS sort_key, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys,
        CASE WHEN count(DISTINCT {k}) < 200 THEN 'bucket' ELSE 'merge' END AS strategy FROM valid"""
         for k in ("id", "name", "continent")),
+    "key_sketch": WITH_VALID + " UNION ALL ".join(
+        f"SELECT '{k}' AS sort_key, count(*) AS rows, count(DISTINCT {k}) AS distinct_keys, true AS within FROM valid"
+        for k in ("id", "name", "continent")),
     "bucket_counts": f"{WITH_VALID}SELECT continent, count(*) AS records FROM valid GROUP BY continent",
     "publish_metrics": f"""{WITH_LINES},
 t AS (SELECT value, {_trim('value')} AS v FROM lines),

@@ -20,7 +20,7 @@ from sortpub.operators.position import with_position
 from sortpub.plans import views
 from sortpub.schema import RECORD_COLUMNS, key_text, serialize
 from sortpub.session import literal_frame, scratch_path, stage
-from sortpub.sources import generate, kafka_order, lines as line_io, topic
+from sortpub.sources import generate, kafka_order, lines as line_io, sketches, topic
 from sortpub.streaming import topics
 from sortpub.streaming.snapshot import stream_snapshot
 
@@ -170,6 +170,23 @@ def q_key_profile(spark, sf):
     return reduce(DataFrame.unionByName, [profile.key_profile(v, k) for k in ("id", "name", "continent")])
 
 
+def q_key_sketch(spark, sf):
+    """Distinct keys of a topic by sketches, after an append whose files alone are read; beside the exact number.
+
+    ``within``: the estimate is off by 5 % at most (three standard errors).
+    """
+    v = stage(_valid(spark, sf))
+    path = scratch_path(spark, "sketched")
+    third = F.col("o_orderkey") % 3 == 0
+    for rows, mode in ((third, "overwrite"), (~third, "append")):
+        topic.publish_sorted(v.where(rows), "name", path, mode=mode, columns=REC, tiebreak=KEY)
+        sketches.update(spark, path)
+    exact = reduce(DataFrame.unionByName, [profile.key_profile(v, k).select("sort_key", F.col("distinct_keys").alias("exact")) for k in ("id", "name", "continent")])
+    return sketches.key_estimates(spark, path).join(exact, "sort_key").select(
+        "sort_key", "rows", F.col("exact").alias("distinct_keys"),
+        (F.abs(F.col("distinct_keys") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within"))
+
+
 def q_bucket_counts(spark, sf):
     return profile.bucket_counts(_valid(spark, sf), "continent")
 
@@ -276,6 +293,14 @@ def q_topic_stats(spark, sf):
     return topic.topic_stats(topic.read_topic(spark, path, "event_topic"))
 
 
+def q_stored_stats(spark, sf):
+    """The statistics of a topic written in two commits, from its manifest alone."""
+    path, events = scratch_path(spark, "event_topic"), stage(views.event_topic(spark, sf))
+    for rows, mode in ((F.col("offset") % 3 != 0, "overwrite"), (F.col("offset") % 3 == 0, "append")):
+        topic.write_topic(events.where(rows), path, mode=mode)
+    return topic.stored_stats(spark, path)
+
+
 def q_append_vs_replace(spark, sf):
     """Publish twice by each mode; last, a sorted topic over one of three partitions."""
     lines, records = stage(views.lines(spark, sf)), stage(_valid(spark, sf))
@@ -378,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "publish_source": q_publish_source,
     "snapshot_read": q_snapshot_read,
     "topic_stats": q_topic_stats,
+    "stored_stats": q_stored_stats,
     "append_vs_replace": q_append_vs_replace,
     "publish_sorted": q_publish_sorted,
     "append_sorted": q_append_sorted,
@@ -407,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "sort_all_keys": q_sort_all_keys,
     "top_n": q_top_n,
     "key_profile": q_key_profile,
+    "key_sketch": q_key_sketch,
     "bucket_counts": q_bucket_counts,
     "publish_metrics": q_publish_metrics,
     "run_stats": q_run_stats,

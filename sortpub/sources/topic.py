@@ -158,6 +158,13 @@ def topic_stats(topic: DataFrame) -> DataFrame:
     )
 
 
+def stored_stats(spark: SparkSession, path: str, name: str | None = None, version: int | None = None) -> DataFrame:
+    """A6 without reading a message: the same columns from the manifest of a version (the newest by default)."""
+    rows = manifest.read(spark, path, version).groupBy("partition").agg(
+        F.min("oldest").alias("oldest"), F.max("hwm").alias("hwm"), F.sum("records").alias("records"))
+    return rows.select(F.lit(name or path.rstrip("/").rsplit("/", 1)[-1]).alias("topic"), "partition", "oldest", "hwm", "records")
+
+
 def capture_bounds(spark: SparkSession, path: str, version: int | None = None) -> Bounds:
     """(partition, oldest, hwm) per partition, captured once, from the manifest."""
     return [(p, lo, hi) for p, lo, hi, _ in read_manifest(spark, path, version)]
