@@ -85,6 +85,38 @@ def test_phrases(spark, hot):
     assert got == brute_phrase(rows)
 
 
+def test_automaton_finds_every_occurrence():
+    """Overlapping, repeated and unpicked places, never across rows; unknown words between."""
+    rng = np.random.default_rng(5)
+    rows = [rng.choice([b"a", b"b", b"c\xc3\xa9"], n).tolist() for n in (0, 7, 8, 60, 400)] + [[b"a"] * 30]
+    phrases = sorted({b" ".join(r[i:i + 8]) for r in rows[3:] for i in range(0, len(r) - 7, 3)}) + [b"never seen in any of these rows"]
+    first = np.cumsum([0, *map(len, rows)]).tolist()
+    at, which = phrase_dedup.occurrences(phrases, [w for r in rows for w in r], first)
+    want = {(f + i, phrases.index(p)) for r, f in zip(rows, first) for i in range(len(r) - 7) if (p := b" ".join(r[i:i + 8])) in phrases}
+    assert len(at) == len(want) and set(zip(at.tolist(), which.tolist())) == want
+    none, _ = phrase_dedup.occurrences([], [b"a"], [0, 1])
+    assert not len(none)
+
+
+def test_leftmost_of_the_smallest():
+    values = np.random.default_rng(6).integers(0, 9, 300).astype(np.uint64)
+    low, at = phrase_dedup._leftmost(values, 43)
+    for i in range(300 - 42):
+        assert (low[i], at[i]) == (values[i:i + 43].min(), i + values[i:i + 43].argmin())
+
+
+@pytest.mark.parametrize("hot", [phrase_dedup.HOT, 2])
+def test_phrases_in_small_shards(spark, monkeypatch, hot):
+    """Passages at unlike places, periodic text, phrases that one document picks and another only holds."""
+    monkeypatch.setattr(phrase_dedup, "SHARD_BYTES", 3_000)
+    monkeypatch.setattr(phrase_dedup, "HELD_PHRASES", 5)
+    passage, round_words = prose(21, 120).split(), " ".join(f"w{i % 3}" for i in range(90))
+    rows = [(i, " ".join([*prose(300 + i, i % 7).split(), *passage[i % 40:i % 40 + 50 + i % 31], *prose(400 + i, 20).split()])) for i in range(40)]
+    rows += [(50, round_words), (51, "w2 " + round_words), (51, "x " + round_words), (52, round_words[:200]), (53, prose(7, 60)), (None, prose(7, 60))]
+    got = Counter(tuple(r) for r in phrase_dedup.phrase_digest(docs_frame(spark, rows), hot).collect())
+    assert got == brute_phrase(rows)
+
+
 def test_many_documents_share_a_passage(spark):
     passage = prose(9, 70)
     rows = [(i, f"{prose(100 + i, 30)} {passage} {prose(500 + i, 30)}") for i in range(60)]
