@@ -30,6 +30,7 @@ KEY = ["o_orderkey"]          # what tells the lines apart
 RUN_CHUNK = 1_000
 TOP_N = 10
 PEEK_N = 10
+BATCH_FILES = 4               # files that a batch of a stream takes at least
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -373,9 +374,10 @@ def _line_files(spark, sf) -> str:
 
 def q_stream_topic(spark, sf):
     """Line files streamed into a topic, a commit per batch; every batch is handed over twice."""
-    path = scratch_path(spark, "streamed")
+    path, files = scratch_path(spark, "streamed"), _line_files(spark, sf)
     again = lambda rows, number: topics.append_batch(rows, number, path, "lines")
-    topics.stream_to_topic(topics.line_stream(spark, _line_files(spark, sf), max_files=4), path, "lines", each=again)
+    lines = topics.line_stream(spark, files, max_files=topics.files_per_batch(spark, files, least=BATCH_FILES))
+    topics.stream_to_topic(lines, path, "lines", each=again)
     t = topic.read_topic(spark, path)
     positions = t.agg(F.count_distinct("partition", "offset")).first()[0]
     return t.select("value", F.lit(positions).alias("positions"))

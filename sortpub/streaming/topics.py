@@ -3,6 +3,9 @@
 ``foreachBatch`` may hand a batch over again after a failure.  Each batch's commit carries the stream's name and the batch
 number in the manifest; a batch that the topic holds already is left out, so a replay adds no row.  Offsets are
 given per batch, from the high-water mark of the version the batch builds on.
+
+A batch costs jobs and a commit however few lines it holds, so the files of a batch follow the backlog
+(``files_per_batch``): the number of batches doesn't grow with the files.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 from sortpub.session import scratch_path
 from sortpub.sources import topic
 
+# Batches that a bounded stream takes for the files it finds.
+MAX_BATCHES = 16
+
 
 def batch_name(stream: str, number: int) -> str:
     return f"{stream}:{number}"
@@ -86,8 +92,20 @@ def observed_stream(stream: DataFrame, counters: dict[str, Column], name: str =
     return stream.observe(name, *[c.alias(n) for n, c in counters.items()]), listener
 
 
+def files_per_batch(spark: SparkSession, source_dir: str, least: int = 1, batches: int = MAX_BATCHES) -> int:
+    """Files a trigger should take: ``least``, or as many more as bring the files there now into ``batches`` batches.
+
+    A share of the files, so no file is left out.  The listing is the one the stream makes itself, and only its length is fetched.
+    """
+    files = len(spark.read.format("text").load(source_dir)._jdf.inputFiles())
+    return max(least, -(-files // batches))
+
+
 def line_stream(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
-    """Lines of the files in a folder as a stream (first line of each file kept)."""
+    """Lines of the files in a folder as a stream (first line of each file kept).
+
+    ``max_files``: files a trigger takes at most; ``files_per_batch`` gives one that holds for any backlog.
+    """
     reader = spark.readStream.format("text").option("lineSep", "\n").schema("value string")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
