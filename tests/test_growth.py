@@ -28,3 +28,12 @@ def test_topic_batches_do_not_grow_with_the_files(spark, tmp_out, monkeypatch):
     got = __spark_entry__.queries()["stream_topic"](spark, SF).collect()
     assert 1 < len(set(taken)) <= 16 and len(taken) == 2 * len(set(taken))
     assert sorted(r.value for r in got) == sorted(f"{i},n,a,c" for i in range(88)) and {r.positions for r in got} == {88}
+
+
+def test_counter_batches_do_not_grow_with_the_files(spark, tmp_out, monkeypatch):
+    monkeypatch.setattr(queries, "_line_files", lambda *_: many_files(spark, f"{tmp_out}/in", 90))
+    listeners, totals = [], topics.Counters.totals
+    monkeypatch.setattr(topics.Counters, "totals", lambda self, *a: (listeners.append(self), totals(self, *a))[1])
+    got = __spark_entry__.queries()["stream_metrics"](spark, SF).collect()
+    assert [tuple(r) for r in got] == [(90, 1, 1)]
+    assert 1 < len(listeners[0].batches) <= 16
