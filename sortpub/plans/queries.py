@@ -341,7 +341,7 @@ def q_append_sorted(spark, sf):
 def q_publish_partitions(spark, sf):
     """The order by continent over four partitions, as they are sent to Kafka, put together again from their bounds."""
     path, bounds = scratch_path(spark, "partitions"), scratch_path(spark, "bounds")
-    kafka_order.publish_in_order(_valid(spark, sf), "continent", lambda frame: frame.write.parquet(path), 4, bounds, REC, KEY)
+    kafka_order.publish_in_order(_valid(spark, sf), "continent", lambda frame: frame.write.mode("append").parquet(path), 4, bounds, REC, KEY)
     return kafka_order.read_in_order(spark, spark.read.parquet(path), bounds)
 
 

@@ -1,7 +1,9 @@
-"""An order published to Kafka: partition = shard.
+"""An order published to Kafka: partition = shards that follow each other.
 
-The records are cut into as many ranges of the order as the topic has partitions; range p goes to partition p,
-sent in order by one task, so the partitions read one after the other are the whole order.  The bounds (first offset,
+The records are cut into as many ranges of the order as their size asks for (``SHARD_BYTES``).  A partition of the topic
+takes the same number of neighbouring ranges, so the partitions read one after the other are the whole order.  The messages
+go out in waves: a wave sends some shards of every partition, each partition in order by one task, and the next wave
+follows when it is through.  So neither a sort nor a sending task grows with the table.  The bounds (first offset,
 records, first and last key of every partition) are kept beside the topic as a small table, without
 which no reader could tell an offset of the whole order.
 
@@ -19,20 +21,39 @@ from pyspark.sql import functions as F
 
 from sortpub.operators.metrics import throughput
 from sortpub.operators.order import sorted_shards
-from sortpub.schema import SOURCE_POSITION, serialize
+from sortpub.schema import SOURCE_POSITION, check_key, serialize
 from sortpub.session import stage
 
 PLACE_DIGITS = 19
-_ROW_MASK = (1 << 33) - 1
+# Bytes of values per shard, and that a wave sends to a partition.
+SHARD_BYTES = 64 << 20
+_ROW_BITS = 33
+_ROW_MASK = (1 << _ROW_BITS) - 1
 
 
 def ordered_messages(records: DataFrame, key: str, partitions: int, columns: list[str] | None = None,
                      tiebreak: tuple[str, ...] = SOURCE_POSITION) -> DataFrame:
-    """(partition, place, value, sort_key), staged: range p of the order is partition p, ``place`` counts from 0 in it."""
-    rows, cols = sorted_shards(records, key, columns, tiebreak, partitions)
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))
-    return stage(rows.select(F.spark_partition_id().alias("partition"), place.alias("place"), serialize(cols).alias("value"),
-                             F.col(key).alias("sort_key")), "ordered")
+    """(partition, shard, place, value, sort_key), staged: partition p holds the p-th run of neighbouring ranges of the
+    order, ``shard`` counts them from 0 in it, ``place`` the messages.
+    """
+    check_key(records, key)
+    # A range sort reads its input twice (it samples it), so what it sorts is a staged copy, which also tells the size.
+    taken = stage(records, "records")
+    shown = list(columns) if columns is not None else [c for c in taken.columns if c not in tiebreak]
+    value_bytes = taken.agg(F.coalesce(F.sum(F.octet_length(serialize(shown))), F.lit(0))).first()[0]
+    shards = max(taken.sparkSession.sparkContext.defaultParallelism, -(-value_bytes // SHARD_BYTES))
+    each = -(-shards // partitions)
+    rows, cols = sorted_shards(taken, key, columns, tiebreak, partitions * each)
+    mark = F.monotonically_increasing_id()
+    range_id = F.shiftright(mark, _ROW_BITS)
+    ranges = rows.select((range_id / each).cast("int").alias("partition"), (range_id % each).cast("int").alias("shard"),
+                         mark.bitwiseAND(F.lit(_ROW_MASK)).alias("i"), serialize(cols).alias("value"), F.col(key).alias("sort_key"))
+    staged = stage(ranges, "ordered")
+    before = Window.partitionBy("partition").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)       # one row a shard
+    counts = staged.groupBy("partition", "shard").agg(F.count(F.lit(1)).alias("n"))
+    firsts = stage(counts.select("partition", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "firsts")
+    return (staged.join(F.broadcast(firsts), ["partition", "shard"])
+                  .select("partition", "shard", (F.col("first") + F.col("i")).alias("place"), "value", "sort_key"))
 
 
 def partition_bounds(messages: DataFrame) -> DataFrame:
@@ -43,24 +64,36 @@ def partition_bounds(messages: DataFrame) -> DataFrame:
 
 
 def to_send(messages: DataFrame, partitions: int) -> DataFrame:
-    """(key, value, partition) as Kafka takes them: a partition's messages in one task, in order."""
-    lined = messages.repartition(partitions, "partition").sortWithinPartitions("partition", "place")
+    """(key, value, partition) as Kafka takes them: a partition's messages in one task of their own, in order."""
+    lined = messages.repartitionById(partitions, "partition").sortWithinPartitions("partition", "place")
     return lined.select(F.lpad(F.col("place").cast("string"), PLACE_DIGITS, "0").alias("key"), "value", "partition")
 
 
+def waves(messages: DataFrame, partitions: int, value_bytes: int, shards: int) -> list[DataFrame]:
+    """``messages`` cut into waves of whole shards, first places first, about ``SHARD_BYTES`` of values to a partition each.
+
+    A file of the staged copy holds one shard, so a wave skips the others' rows by their statistics.
+    """
+    asked = max(1, -(-value_bytes // (partitions * SHARD_BYTES)))
+    step = max(1, shards // asked)
+    return [messages.where((F.col("shard") >= lo) & (F.col("shard") < lo + step)) for lo in range(0, max(shards, 1), step)]
+
+
 def publish_in_order(records: DataFrame, key: str, send: Callable[[DataFrame], None], partitions: int, bounds_path: str,
                      columns: list[str] | None = None, tiebreak: tuple[str, ...] = SOURCE_POSITION) -> dict:
     """Send ``records`` in ``key`` order over ``partitions`` partitions and write their bounds (Parquet).
 
-    ``send`` writes a frame of (key, value, partition), e.g. ``kafka_writer``.  The bounds are written first: a reader of a
-    half-sent topic finds fewer messages than they tell.
+    ``send`` writes a frame of (key, value, partition), e.g. ``kafka_writer``; it is called once a wave and adds to what it
+    wrote before.  The bounds are written first: a reader of a half-sent topic finds fewer messages than they tell.
     """
     started = time.time()
     messages = ordered_messages(records, key, partitions, columns, tiebreak)
     bounds = stage(partition_bounds(messages), "bounds")
     bounds.write.mode("overwrite").parquet(bounds_path)
-    send(to_send(messages, partitions))
-    counts = messages.agg(F.count(F.lit(1)).alias("sent"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes")).first().asDict()
+    counts = messages.agg(F.count(F.lit(1)).alias("sent"), F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("bytes"),
+                          F.coalesce(F.max("shard") + 1, F.lit(0)).alias("shards")).first().asDict()
+    for wave in waves(messages, partitions, counts["bytes"], counts.pop("shards")):
+        send(to_send(wave, partitions))
     return throughput(counts, started)
 
 
